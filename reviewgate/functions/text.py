@@ -69,7 +69,7 @@ def narrative_hash(text: Column) -> Column:
 
 def slug(value: Column) -> Column:
     """Lowercase, runs of non [a-z0-9] -> '-', strip '-' (B3)."""
-    return F.trim(F.regexp_replace(F.lower(value), "[^a-z0-9]+", "-"), "-")
+    return F.trim(F.regexp_replace(F.lower(value), "[^a-z0-9]+", "-"), F.lit("-"))
 
 
 def input_status(text: Column, min_chars: int = config.MIN_INPUT_CHARS,

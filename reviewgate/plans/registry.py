@@ -439,3 +439,6 @@ SQL["dominant_confusions"] = _CELLS + f""", sh AS (SELECT label_id, pred_id, n A
     CAST(sum(n) OVER (PARTITION BY label_id) AS BIGINT) AS support FROM cells)
   SELECT label_id, pred_id, count, support, {r('CAST(count AS DOUBLE) / support', 'share')}
   FROM sh WHERE label_id <> pred_id ORDER BY count DESC, label_id, pred_id LIMIT 4"""
+
+
+from . import checks_prepare  # noqa: E402,F401  (registers its queries)
