@@ -35,6 +35,7 @@ CHAR_MAX_FEATURES = 60000
 MIN_DF = 2
 LOGISTIC_C = 4.0
 LOGISTIC_MAX_ITER = 1000
+LOGISTIC_TOL = 1e-4
 
 ROUTE_ACTION = "model_assisted_route"
 REVIEW_ACTION = "human_review"
