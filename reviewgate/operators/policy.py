@@ -35,16 +35,19 @@ def with_scores(df: DataFrame, temperature=1.0, logits_col: str = "logits",
     return out
 
 
-def threshold_curve(scored: DataFrame) -> DataFrame:
+def threshold_curve(scored: DataFrame, group_cols: list[str] = ()) -> DataFrame:
     """For each distinct confidence t: rows with confidence >= t, their correct
-    count, coverage and accuracy (F6).
+    count, coverage and accuracy (F6), optionally per group (one policy per
+    model or segment).
 
     Rows collapse to distinct confidences first (map-side combine); the
     descending prefix sums come from the distributed range-prefix helper."""
-    per_value = scored.where(F.col("confidence").isNotNull()).groupBy("confidence").agg(
+    g = list(group_cols)
+    per_value = scored.where(F.col("confidence").isNotNull()).groupBy(*g, "confidence").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("correct").cast("long")).alias("k"))
-    ranked = ordered_positions(per_value, [F.col("confidence").desc()], sums=["n", "k"])
+    ranked = ordered_positions(per_value, [F.col("confidence").desc()], g, sums=["n", "k"])
     return ranked.select(
+        *g,
         F.col("confidence").alias("threshold"),
         F.col("cum_n").alias("accepted_count"),
         F.col("cum_k").alias("correct_count"),
@@ -55,22 +58,31 @@ def threshold_curve(scored: DataFrame) -> DataFrame:
 
 
 def select_threshold(curve: DataFrame, target_accuracy: float = config.TARGET_ACCURACY,
-                     min_coverage: float = 0.0) -> DataFrame:
+                     min_coverage: float = 0.0, group_cols: list[str] = ()) -> DataFrame:
     """Largest coverage whose accepted accuracy meets the target.
 
     Accuracy is not monotone in the threshold, so every point is checked.
     When none qualifies the policy fails closed: threshold 1.0, nothing
-    accepted, null accuracy, target_met false. One row out."""
+    accepted, null accuracy, target_met false. One row out (per group)."""
     if not 0 <= target_accuracy <= 1 or not 0 <= min_coverage <= 1:
         raise ValueError("invalid selective-prediction inputs")
+    g = list(group_cols)
     required = F.ceil(F.lit(float(min_coverage)) * F.col("total_count"))
-    ok = curve.where(
-        (F.col("accepted_count") >= required) & (F.col("accepted_count") > 0)
-        & (F.col("accepted_accuracy") + F.lit(config.TARGET_SLACK) >= F.lit(float(target_accuracy))))
-    best = ok.agg(F.max_by(
-        F.struct("threshold", "accepted_count", "coverage", "accepted_accuracy"),
-        F.struct(F.col("accepted_count"), -F.col("threshold"))).alias("b"))
+    qualifies = ((F.col("accepted_count") >= required) & (F.col("accepted_count") > 0)
+                 & (F.col("accepted_accuracy") + F.lit(config.TARGET_SLACK)
+                    >= F.lit(float(target_accuracy))))
+    cand = F.when(qualifies, F.struct("threshold", "accepted_count", "coverage",
+                                      "accepted_accuracy"))
+    # max_by ignores rows whose value is null only when the ordering is null,
+    # so order non-candidates below every candidate.
+    order = F.when(qualifies, F.struct(F.lit(1).alias("q"), F.col("accepted_count").alias("n"),
+                                       (-F.col("threshold")).alias("t"))) \
+        .otherwise(F.struct(F.lit(0).alias("q"), F.lit(0).cast("long").alias("n"),
+                            F.lit(0.0).alias("t")))
+    best = curve.groupBy(*g).agg(F.max_by(cand, order).alias("b")) if g \
+        else curve.agg(F.max_by(cand, order).alias("b"))
     return best.select(
+        *g,
         F.coalesce(F.col("b.threshold"), F.lit(1.0)).alias("threshold"),
         F.coalesce(F.col("b.accepted_count"), F.lit(0).cast("long")).alias("accepted_count"),
         F.coalesce(F.col("b.coverage"), F.lit(0.0)).alias("coverage"),
@@ -81,8 +93,9 @@ def select_threshold(curve: DataFrame, target_accuracy: float = config.TARGET_AC
 
 def select_confidence_threshold(scored: DataFrame,
                                 target_accuracy: float = config.TARGET_ACCURACY,
-                                min_coverage: float = 0.0) -> DataFrame:
-    return select_threshold(threshold_curve(scored), target_accuracy, min_coverage)
+                                min_coverage: float = 0.0, group_cols: list[str] = ()) -> DataFrame:
+    return select_threshold(threshold_curve(scored, group_cols), target_accuracy, min_coverage,
+                            group_cols)
 
 
 def policy_frame(spark: SparkSession, threshold: float, target_met: bool) -> DataFrame:

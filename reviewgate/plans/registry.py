@@ -443,3 +443,4 @@ SQL["dominant_confusions"] = _CELLS + f""", sh AS (SELECT label_id, pred_id, n A
 
 from . import checks_prepare  # noqa: E402,F401  (registers its queries)
 from . import checks_features  # noqa: E402,F401
+from . import checks_io  # noqa: E402,F401
