@@ -14,7 +14,9 @@ from ..functions import scores
 
 
 def _clipped_nll(p_label: Column) -> Column:
-    return -F.log(F.greatest(F.least(p_label, F.lit(1.0)), F.lit(config.NLL_CLIP)))
+    # least/greatest skip nulls, so keep a missing probability null explicitly
+    return F.when(p_label.isNotNull(),
+                  -F.log(F.greatest(F.least(p_label, F.lit(1.0)), F.lit(config.NLL_CLIP))))
 
 
 def negative_log_likelihood(df: DataFrame, probs_col: str = "probs",
