@@ -12,12 +12,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def _broadcast_op(values: Column, scalar: Column, op) -> Column:
+    """Apply op(x, scalar) to every element. The row scalar is passed next to
+    the array instead of being captured by the lambda, so it is computed once
+    per row rather than once per element."""
+    return F.zip_with(values, F.array_repeat(scalar, F.size(values)), op)
+
+
+def exp_shifted(logits: Column) -> Column:
+    """exp(z - max z), the numerically stable numerator of softmax."""
+    return _broadcast_op(logits, F.array_max(logits), lambda x, m: F.exp(x - m))
+
+
+def normalise(weights: Column) -> Column:
+    """Divide by the row sum (summed left to right, as NumPy does for short rows)."""
+    total = F.aggregate(weights, F.lit(0.0), lambda acc, x: acc + x)
+    return _broadcast_op(weights, total, lambda x, s: x / s)
+
+
 def softmax(logits: Column) -> Column:
     """Stable row softmax."""
-    top = F.array_max(logits)
-    shifted = F.transform(logits, lambda x: F.exp(x - top))
-    total = F.aggregate(shifted, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(shifted, lambda x: x / total)
+    return normalise(exp_shifted(logits))
 
 
 def scale(logits: Column, temperature) -> Column:

@@ -32,8 +32,20 @@ def negative_log_likelihood(df: DataFrame, probs_col: str = "probs",
     )
 
 
-def _nll_at(logits: Column, label: Column, t: Column) -> Column:
-    """Row NLL at temperature t with the same arithmetic as softmax(z / t)."""
+def _nll_at(logits: Column, label: Column, t: Column, n_classes: int | None = None) -> Column:
+    """Row NLL at temperature t with the same arithmetic as softmax(z / t).
+
+    With a known class count the score vector is unrolled into K scalar
+    expressions, which stay in generated code; otherwise lambdas are used."""
+    if n_classes:
+        z = [F.get(logits, i) / t for i in range(n_classes)]
+        top = F.greatest(*z) if n_classes > 1 else z[0]
+        denom = None
+        for zi in z:
+            term = F.exp(zi - top)
+            denom = term if denom is None else denom + term
+        p = F.exp(F.get(logits, label) / t - top) / denom
+        return F.when(F.size(logits) == n_classes, _clipped_nll(p))
     top = F.array_max(logits) / t
     denom = F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x / t - top))
     p = F.exp(F.get(logits, label) / t - top) / denom
@@ -41,7 +53,7 @@ def _nll_at(logits: Column, label: Column, t: Column) -> Column:
 
 
 def nll_grid(df: DataFrame, temperatures, logits_col: str = "logits",
-             label_col: str = "label_id") -> DataFrame:
+             label_col: str = "label_id", n_classes: int | None = None) -> DataFrame:
     """NLL at many temperatures in one scan (F2): each row meets every grid
     temperature, one expression is compiled, and the (temperature, sum)
     partial aggregate keeps the shuffle at grid x partitions rows."""
@@ -49,40 +61,105 @@ def nll_grid(df: DataFrame, temperatures, logits_col: str = "logits",
     fanned = df.select(F.col(logits_col).alias("_z"), F.col(label_col).alias("_y"),
                        F.explode(temps).alias("temperature"))
     return fanned.groupBy("temperature").agg(
-        F.avg(_nll_at(F.col("_z"), F.col("_y"), F.col("temperature"))).alias("nll"))
+        F.avg(_nll_at(F.col("_z"), F.col("_y"), F.col("temperature"), n_classes)).alias("nll"))
+
+
+def class_count(df: DataFrame, logits_col: str = "logits") -> int | None:
+    """Score-vector length when all rows agree (one cheap aggregate), else None."""
+    r = df.agg(F.min(F.size(logits_col)).alias("a"), F.max(F.size(logits_col)).alias("b")).first()
+    return int(r["a"]) if r["a"] is not None and r["a"] == r["b"] and r["a"] > 0 else None
+
+
+def _newton_terms(logits: Column, label: Column, beta: float, n_classes: int | None):
+    """Per-row gradient and curvature of the clipped NLL in beta = 1 / T.
+    Rows whose label probability is clipped contribute zero (the clipped
+    loss is flat there)."""
+    b = F.lit(float(beta))
+    if n_classes:
+        z = [F.get(logits, i) for i in range(n_classes)]
+        x = [b * zi for zi in z]
+        top = F.greatest(*x) if n_classes > 1 else x[0]
+        e = [F.exp(xi - top) for xi in x]
+        total = e[0]
+        for ei in e[1:]:
+            total = total + ei
+        ez = e[0] * z[0]
+        ez2 = e[0] * z[0] * z[0]
+        for ei, zi in zip(e[1:], z[1:]):
+            ez = ez + ei * zi
+            ez2 = ez2 + ei * zi * zi
+        ez, ez2 = ez / total, ez2 / total
+        zy = F.get(logits, label)
+        py = F.exp(b * zy - top) / total
+        ok = (F.size(logits) == n_classes) & zy.isNotNull()
+    else:
+        top = F.array_max(logits) * b
+        e = F.transform(logits, lambda v: F.exp(v * b - top))
+        total = F.aggregate(e, F.lit(0.0), lambda a, v: a + v)
+        ez = F.aggregate(F.zip_with(e, logits, lambda ei, zi: ei * zi), F.lit(0.0),
+                         lambda a, v: a + v) / total
+        ez2 = F.aggregate(F.zip_with(e, logits, lambda ei, zi: ei * zi * zi), F.lit(0.0),
+                          lambda a, v: a + v) / total
+        zy = F.get(logits, label)
+        py = F.exp(b * zy - top) / total
+        ok = zy.isNotNull()
+    live = ok & (py >= F.lit(config.NLL_CLIP))
+    g = F.when(live, ez - zy).otherwise(F.lit(0.0))
+    h = F.when(live, ez2 - ez * ez).otherwise(F.lit(0.0))
+    return g, h
 
 
 def fit_temperature(df: DataFrame, lower: float = config.MIN_TEMPERATURE,
-                    upper: float = config.MAX_TEMPERATURE, points: int = 64,
-                    tolerance: float = 1e-6, max_passes: int = 12,
+                    upper: float = config.MAX_TEMPERATURE, points: int = 16,
+                    tolerance: float = 1e-6, max_steps: int = 40,
                     logits_col: str = "logits", label_col: str = "label_id") -> float:
-    """Minimise NLL over T in [lower, upper] by grid refinement.
+    """Minimise the clipped NLL over T in [lower, upper].
 
-    NLL is convex in 1/T, so each pass evaluates ``points`` values of 1/T in
-    one Spark aggregate and keeps the bracket around the minimum. Each pass
-    reads the persisted (logits, label) rows once; about 5-8 passes."""
+    One grid pass over ``points`` values of 1/T (NLL is convex in 1/T away
+    from the clip) brackets the minimum; a safeguarded Newton iteration on
+    1/T then converges in a few passes, each one aggregate of gradient and
+    curvature over the persisted (logits, label) rows. Steps that leave the
+    bracket fall back to bisection."""
     if not 0 < lower < upper:
         raise ValueError("invalid calibration inputs")
     data = df.select(logits_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if data.limit(1).count() == 0:
             raise ValueError("at least one observation is required")
-        b_lo, b_hi = 1.0 / upper, 1.0 / lower
-        best_t = None
-        for _ in range(max_passes):
-            betas = [b_lo + (b_hi - b_lo) * i / (points - 1) for i in range(points)]
-            temps = [min(max(1.0 / b, lower), upper) for b in betas]
-            rows = {r["temperature"]: r["nll"]
-                    for r in nll_grid(data, temps, logits_col, label_col).collect()}
-            values = [rows[t] for t in temps]
-            j = min(range(points), key=lambda i: (values[i], i))
-            best_t = temps[j]
-            b_lo, b_hi = betas[max(j - 1, 0)], betas[min(j + 1, points - 1)]
-            if 1.0 / b_lo - 1.0 / b_hi < tolerance:
+        k = class_count(data, logits_col)
+        b_min, b_max = 1.0 / upper, 1.0 / lower
+        betas = [b_min + (b_max - b_min) * i / (points - 1) for i in range(points)]
+        temps = [1.0 / b for b in betas]
+        rows = {r["temperature"]: r["nll"]
+                for r in nll_grid(data, temps, logits_col, label_col, k).collect()}
+        values = [rows[t] for t in temps]
+        j = min(range(points), key=lambda i: (values[i], i))
+        lo, hi = betas[max(j - 1, 0)], betas[min(j + 1, points - 1)]
+        beta = betas[j]
+        for _ in range(max_steps):
+            g, h = _newton_terms(F.col(logits_col), F.col(label_col), beta, k)
+            r = data.agg(F.avg(g).alias("g"), F.avg(h).alias("h")).first()
+            grad, curv = r["g"], r["h"]
+            if grad is None or not math.isfinite(grad):
+                raise RuntimeError("temperature fitting failed")
+            if grad > 0:
+                hi = beta
+            elif grad < 0:
+                lo = beta
+            else:
                 break
-        if best_t is None or not math.isfinite(best_t):
+            step = grad / curv if curv and curv > 0 else None
+            nxt = beta - step if step is not None else None
+            if nxt is None or not lo < nxt < hi:
+                nxt = (lo + hi) / 2
+            done = abs(1.0 / nxt - 1.0 / beta) < tolerance or (1.0 / lo - 1.0 / hi) < tolerance
+            beta = nxt
+            if done:
+                break
+        t = 1.0 / beta
+        if not math.isfinite(t):
             raise RuntimeError("temperature fitting failed")
-        return float(min(max(best_t, lower), upper))
+        return float(min(max(t, lower), upper))
     finally:
         data.unpersist()
 

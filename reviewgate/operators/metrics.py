@@ -39,20 +39,20 @@ def confusion_matrix(df: DataFrame, classes: DataFrame, label_col: str = "label_
 def per_class_from_cells(cells: DataFrame, group_cols: list[str] = ()) -> DataFrame:
     """Precision, recall, F1 and support per observed class (labels or
     predictions); 0 on zero division. ``cells`` has label_id, pred_id, count
-    (plus optional group columns, e.g. a replicate id)."""
+    (plus optional group columns, e.g. a replicate id). One aggregate: each
+    cell counts once for its true class and once for its predicted class."""
     g = list(group_cols)
-    support = cells.groupBy(*g, F.col("label_id").alias("class_id")).agg(
-        F.sum("count").alias("support"))
-    predicted = cells.groupBy(*g, F.col("pred_id").alias("class_id")).agg(
-        F.sum("count").alias("predicted"))
-    tp = cells.where(F.col("label_id") == F.col("pred_id")).groupBy(
-        *g, F.col("label_id").alias("class_id")).agg(F.sum("count").alias("tp"))
-    keys = g + ["class_id"]
-    j = support.join(predicted, keys, "full_outer").join(tp, keys, "left")
-    s = F.coalesce(F.col("support"), F.lit(0).cast("long"))
-    pr = F.coalesce(F.col("predicted"), F.lit(0).cast("long"))
-    t = F.coalesce(F.col("tp"), F.lit(0).cast("long"))
-    return j.select(
+    roles = F.array(
+        F.struct(F.col("label_id").alias("class_id"), F.col("count").alias("s"),
+                 F.lit(0).cast("long").alias("p"),
+                 F.when(F.col("label_id") == F.col("pred_id"), F.col("count"))
+                 .otherwise(F.lit(0).cast("long")).alias("t")),
+        F.struct(F.col("pred_id").alias("class_id"), F.lit(0).cast("long").alias("s"),
+                 F.col("count").alias("p"), F.lit(0).cast("long").alias("t")))
+    per = cells.select(*g, F.inline(roles)).groupBy(*g, "class_id").agg(
+        F.sum("s").alias("support"), F.sum("p").alias("predicted"), F.sum("t").alias("tp"))
+    s, pr, t = F.col("support"), F.col("predicted"), F.col("tp")
+    return per.select(
         *g, "class_id",
         F.coalesce(F.try_divide(t, pr), F.lit(0.0)).alias("precision"),
         F.coalesce(F.try_divide(t, s), F.lit(0.0)).alias("recall"),
