@@ -35,6 +35,20 @@ def softmax(logits: Column) -> Column:
     return normalise(exp_shifted(logits))
 
 
+def softmax_fixed(logits: Column, n_classes: int, temperature=1.0) -> Column:
+    """softmax(logits / T) for vectors of known length K, unrolled into K
+    scalar expressions so it runs in generated code. Rows of another length
+    give null (validate_score_shape reports them)."""
+    t = temperature if isinstance(temperature, Column) else F.lit(float(temperature))
+    x = [F.get(logits, i) / t for i in range(n_classes)]
+    top = F.greatest(*x) if n_classes > 1 else x[0]
+    e = [F.exp(xi - top) for xi in x]
+    total = e[0]
+    for ei in e[1:]:
+        total = total + ei
+    return F.when(F.size(logits) == n_classes, F.array(*[ei / total for ei in e]))
+
+
 def scale(logits: Column, temperature) -> Column:
     t = temperature if isinstance(temperature, Column) else F.lit(float(temperature))
     return F.transform(logits, lambda x: x / t)

@@ -24,14 +24,17 @@ POLICY_SCHEMA = StructType([
 
 
 def with_scores(df: DataFrame, temperature=1.0, logits_col: str = "logits",
-                label_col: str | None = "label_id") -> DataFrame:
+                label_col: str | None = "label_id", n_classes: int | None = None) -> DataFrame:
     """probs = softmax(logits / T), confidence, pred_id and correct, computed once.
 
     The softmax is staged in two projections so the shifted exponentials are
     evaluated once per row (Catalyst keeps a projection whose non-trivial
     output is used twice)."""
-    out = df.withColumn("_e", scores.exp_shifted(scores.scale(F.col(logits_col), temperature)))
-    out = out.withColumn("probs", scores.normalise(F.col("_e"))).drop("_e")
+    if n_classes:
+        out = df.withColumn("probs", scores.softmax_fixed(F.col(logits_col), n_classes, temperature))
+    else:
+        out = df.withColumn("_e", scores.exp_shifted(scores.scale(F.col(logits_col), temperature)))
+        out = out.withColumn("probs", scores.normalise(F.col("_e"))).drop("_e")
     out = out.withColumn("confidence", scores.confidence(F.col("probs"))) \
              .withColumn("pred_id", scores.arg_max(F.col("probs")))
     if label_col is not None:

@@ -13,6 +13,7 @@ range; it is broadcast only below a checked row bound.
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,7 +65,12 @@ def ordered_positions(df: DataFrame, order: list[Column], partition_by: list[str
     sums = list(sums)
     n = num_partitions or _default_partitions(df)
     keys = [F.col(c) for c in partition_by] + list(order)
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # The range partitioner samples its input in a separate job; cache the
+    # input so that job and the real one share one evaluation of the
+    # upstream plan. (A lost cache block is recomputed; the positions are
+    # frozen by the reliable checkpoint below either way.)
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = source.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     if sums:
         fields = list(df.schema.fields) + [StructField("_part", LongType()),
                                            StructField("_pos", LongType())]
@@ -80,6 +86,7 @@ def ordered_positions(df: DataFrame, order: list[Column], partition_by: list[str
     # Freeze partition ids and positions: range bounds are sampled per job, so
     # both uses below must read the same materialised rows.
     ranged = ranged.checkpoint(eager=True)
+    source.unpersist()
 
     aggs = [F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt")]
     for c in sums:
