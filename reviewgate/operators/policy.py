@@ -51,8 +51,15 @@ def threshold_curve(scored: DataFrame, group_cols: list[str] = ()) -> DataFrame:
     Rows collapse to distinct confidences first (map-side combine); the
     descending prefix sums come from the distributed range-prefix helper."""
     g = list(group_cols)
-    per_value = scored.where(F.col("confidence").isNotNull()).groupBy(*g, "confidence").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("correct").cast("long")).alias("k"))
+    # Null confidences are dropped after aggregation: a row-level filter on a
+    # computed score would be pushed below the scoring projection and inline
+    # the softmax into the filter.
+    # (a predicate on the grouping key would be pushed back through the
+    # aggregate, so the test is an aggregate output)
+    per_value = scored.groupBy(*g, "confidence").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("correct").cast("long")).alias("k"),
+        F.max(F.col("confidence").isNull()).alias("_no_conf")) \
+        .where(~F.col("_no_conf")).drop("_no_conf")
     ranked = ordered_positions(per_value, [F.col("confidence").desc()], g, sums=["n", "k"])
     return ranked.select(
         *g,

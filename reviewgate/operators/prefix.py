@@ -12,6 +12,8 @@ range; it is broadcast only below a checked row bound.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark import StorageLevel
 import pandas as pd
@@ -22,6 +24,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ..session import checkpoint_dir
 
 BROADCAST_ROW_LIMIT = 1_000_000
+ROWS_PER_TASK = 2_000_000
 _POS_BITS = 33  # monotonically_increasing_id = partition << 33 | row-in-partition
 
 
@@ -63,13 +66,18 @@ def ordered_positions(df: DataFrame, order: list[Column], partition_by: list[str
     checkpoint_dir(spark)
     partition_by = list(partition_by)
     sums = list(sums)
-    n = num_partitions or _default_partitions(df)
     keys = [F.col(c) for c in partition_by] + list(order)
     # The range partitioner samples its input in a separate job; cache the
     # input so that job and the real one share one evaluation of the
     # upstream plan. (A lost cache block is recomputed; the positions are
     # frozen by the reliable checkpoint below either way.)
     source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if num_partitions:
+        n = num_partitions
+    else:
+        # as many range tasks as the data needs, up to the shuffle setting
+        rows = source.count()
+        n = max(1, min(_default_partitions(df), math.ceil(rows / ROWS_PER_TASK)))
     ranged = source.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     if sums:
         fields = list(df.schema.fields) + [StructField("_part", LongType()),
