@@ -8,6 +8,7 @@ rows are unchanged by both forms and skip the Python hop.
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 import pandas as pd
@@ -41,10 +42,34 @@ def _strip_accents_udf(texts: pd.Series) -> pd.Series:
     return texts.map(strip)
 
 
+LATIN_END = 0x24F  # end of Latin Extended-B; combining marks start at U+0300
+
+
+@functools.lru_cache(maxsize=None)
+def nfkc_sensitive_class() -> str:
+    """Java regex class gating the NFKC UDF: every code point above Latin
+    Extended-B (combining marks, jamo, compatibility forms, other scripts)
+    plus the few Latin-1 / Latin Extended characters NFKC changes on their
+    own (no-break space, superscripts, fractions, ligatures ...), derived from
+    the running Python's Unicode database. Kept to a few dozen ranges:
+    Java tests a character class range by range."""
+    ranges: list[list[int]] = []
+    for cp in range(0x80, LATIN_END + 1):
+        ch = chr(cp)
+        if unicodedata.category(ch)[0] == "M" or unicodedata.normalize("NFKC", ch) != ch:
+            if ranges and ranges[-1][1] == cp - 1:
+                ranges[-1][1] = cp
+            else:
+                ranges.append([cp, cp])
+    parts = [f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges]
+    return "[" + "".join(parts) + f"\\x{{{LATIN_END + 1:X}}}-\\x{{10FFFF}}]"
+
+
 def nfkc(text: Column) -> Column:
-    """NFKC normal form. The condition sits on the UDF input, so ASCII rows
-    reach Python as nulls only."""
-    return F.coalesce(_nfkc_udf(F.when(text.rlike(NON_ASCII), text)), text)
+    """NFKC normal form. Only rows holding an NFKC-sensitive character reach
+    Python (the condition sits on the UDF input, so the rest arrive as
+    nulls); all other text is already in NFKC form."""
+    return F.coalesce(_nfkc_udf(F.when(text.rlike(nfkc_sensitive_class()), text)), text)
 
 
 def strip_accents(text: Column) -> Column:
