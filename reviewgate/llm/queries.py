@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .simhash_dedup import simhash_groups
 from .suffix_dedup import suffix_dedup
 
 
@@ -13,8 +14,13 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
 SQL: dict[str, str] = {}

@@ -154,9 +154,15 @@ def _refined_nodes(length: int, size: int):
     return run
 
 
+def _counted(nodes: DataFrame, key: str) -> DataFrame:
+    """Keys with more than one row. Stored before it is joined, so that both
+    sides of the join come from plain exchanges and a hot key can be split."""
+    return nodes.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
+
+
 def _settle(nodes: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """One refinement step: (window runs that repeat, nodes still open)."""
-    shared = nodes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(_counted(nodes, "bucket"), f"{name}-shared")
     live = stored(nodes.join(shared, "bucket", "left_semi"), f"{name}-live")
     spans = stored(
         live.groupBy("bucket", "span").agg(
@@ -164,7 +170,7 @@ def _settle(nodes: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
             F.min(F.struct("key_id", "key_hash", "pivot", "first", "last")).alias("one")),
         f"{name}-spans")
     repeats = live.join(spans.where("n > 1").select("bucket", "span"), ["bucket", "span"], "left_semi")
-    mixed = spans.groupBy("bucket").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    mixed = stored(_counted(spans, "bucket"), f"{name}-mixed")
     still_open = spans.join(mixed, "bucket", "left_semi").select("one.*")
     return repeats.select("key_id", "key_hash", "first", "last"), still_open
 
@@ -190,7 +196,7 @@ def repeated_windows(docs: DataFrame, length: int = 200) -> DataFrame:
             .mapInArrow(_refined_nodes(length, size), _NODE)
         nodes = stored(refined, f"suffix-cells-{size}")
         if size == 1:
-            equal = nodes.groupBy("span").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            equal = stored(_counted(nodes, "span"), "suffix-equal")
             repeats = nodes.join(equal, "span", "left_semi") \
                 .select("key_id", "key_hash", "first", "last")
         else:
