@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontaminate import benchmark_hits
 from .simhash_dedup import simhash_groups
+from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 
 
@@ -18,9 +20,36 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"), min_words=5)
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op8_substring_dedup": op8_substring_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
-SQL: dict[str, str] = {}
+# Words are runs of ASCII letters, digits and non-ASCII characters.
+_SHINGLES = """
+  SELECT DISTINCT {id}, unnest(CASE WHEN len(ws) = 0 THEN []
+      WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+      ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g
+  FROM (SELECT {id}, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws
+        FROM {table})"""
+
+SQL: dict[str, str] = {
+    "op10_decontaminate": f"""
+WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
+b AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
+n AS (SELECT item_id, count(*) AS item_shingles FROM b GROUP BY item_id),
+p AS (SELECT d.doc_id, b.item_id, count(*) AS shared_shingles FROM d JOIN b USING (g) GROUP BY ALL)
+SELECT doc_id, item_id, item_shingles, shared_shingles,
+       CAST(shared_shingles AS DOUBLE) / item_shingles AS containment
+FROM p JOIN n USING (item_id) WHERE shared_shingles >= ceil(round(0.8 * item_shingles, 9))""",
+}
