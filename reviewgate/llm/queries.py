@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import token_digests
 from .common import table
 from .decontaminate import benchmark_hits
 from .simhash_dedup import simhash_groups
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
+from .toxicity import fit_toxicity, score_documents
+
+#: The vocabulary of op5 and of the pipeline's last stage.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,8 +34,19 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_documents(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")), threshold=0.3)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op5_bpe": op5_bpe,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
