@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .bpe import token_digests
 from .common import table
 from .decontaminate import benchmark_hits
+from .fingerprint import edited_fingerprints
+from .sharding import shard_documents
 from .simhash_dedup import simhash_groups
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -43,10 +45,20 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"), n_shards=40)
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"), radius=3)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_toxicity": op3_toxicity,
+    "op4_sharding": op4_sharding,
     "op5_bpe": op5_bpe,
+    "op7_fingerprints": op7_fingerprints,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
