@@ -30,7 +30,7 @@ PATTERN = regex.compile(
     rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 _NONE = np.iinfo(np.int64).max
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 150_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -158,16 +158,17 @@ def decode(ids: np.ndarray, vocab: Vocabulary) -> str:
     return b"".join([tokens[i] for i in ids.tolist()]).decode("utf-8", "replace")
 
 
-def _slices(texts: list[str], chars: int = 1 << 22):
-    """The texts in runs of about ``chars`` characters, so that the words of
-    one batch at a time are in memory."""
+def _slices(bodies, chars: int = 1 << 20):
+    """The UTF-8 texts, decoded, in runs of about ``chars`` characters: the words
+    and ids of one run at a time are in memory."""
     run, used = [], 0
-    for t in texts:
-        if run and used + len(t) > chars:
+    for b in bodies:
+        text = b.as_py().decode("utf-8", "replace")
+        if run and used + len(text) > chars:
             yield run
             run, used = [], 0
-        run.append(t)
-        used += len(t)
+        run.append(text)
+        used += len(text)
     if run:
         yield run
 
@@ -176,17 +177,16 @@ def _encoded(vocab):
     def run(batches):
         encoder = Encoder(vocab.value)
         for batch in batches:
-            texts = [b.as_py().decode("utf-8", "replace") for b in batch.column(0)]
-            ids = [x for part in _slices(texts) for x in encoder.encode(part)]
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int64)
-            flat = np.concatenate(ids).astype(np.int64) if ids else np.empty(0, np.int64)
-            for a in range(0, len(ids), 256):  # list offsets and bytes of a batch stay small
-                b = min(a + 256, len(ids))
-                part = pa.LargeListArray.from_arrays(
-                    pa.array(offsets[a:b + 1] - offsets[a]), pa.array(flat[offsets[a]:offsets[b]]))
+            at = 0
+            for part in _slices(batch.column(0)):
+                ids = encoder.encode(part)
+                offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
+                lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()),
+                                                      pa.array(np.concatenate(ids), pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(a, b - a) for c in batch.columns[1:]), part.cast(pa.list_(pa.int64()))],
+                    [*(c.slice(at, len(ids)) for c in batch.columns[1:]), lists.cast(pa.list_(pa.int64()))],
                     [*batch.schema.names[1:], "ids"])
+                at += len(ids)
 
     return run
 
@@ -196,9 +196,8 @@ def _digested(vocab):
         encoder = Encoder(vocab.value)
         for batch in batches:
             doc_ids = batch.column(0)
-            texts = [b.as_py().decode("utf-8", "replace") for b in batch.column(1)]
             counts, id_hashes, text_hashes = [], [], []
-            for part in _slices(texts):
+            for part in _slices(batch.column(1)):
                 for ids in encoder.encode(part):
                     counts.append(len(ids))
                     id_hashes.append(hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest())

@@ -1,3 +1,4 @@
+import functools
 import hashlib
 import random
 
@@ -40,11 +41,16 @@ def test_cases_against_the_library(library, vocab):
         assert decode(ids, vocab) == library.decode(want, skip_special_tokens=False)
 
 
+@functools.cache
+def loaded():
+    return Tokenizer.from_file(PATH), Vocabulary.load(PATH)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t'aest1!<|>")),
                max_size=60))
 def test_any_text_against_the_library(text):
-    library, vocab = Tokenizer.from_file(PATH), Vocabulary.load(PATH)
+    library, vocab = loaded()
     assert Encoder(vocab).encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
 
 
