@@ -14,6 +14,8 @@ from .simhash_dedup import simhash_groups
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .toxicity import fit_toxicity, score_documents
+from .url_filter import derived_captures, derived_events, filter_urls
+from .warc import archive_round_trip
 
 #: The vocabulary of op5 and of the pipeline's last stage.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,11 +55,22 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"), radius=3)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return filter_urls(derived_captures(pages), derived_events(pages))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_url_filter": op2_url_filter,
     "op3_toxicity": op3_toxicity,
     "op4_sharding": op4_sharding,
     "op5_bpe": op5_bpe,
+    "op6_warc": op6_warc,
     "op7_fingerprints": op7_fingerprints,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op8_substring_dedup": op8_substring_dedup,
@@ -73,6 +86,38 @@ _SHINGLES = """
         FROM {table})"""
 
 SQL: dict[str, str] = {
+    "op2_url_filter": r"""
+WITH c AS (
+  SELECT page_id, url, regexp_replace(regexp_extract(lower(coalesce(url, '')),
+           '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '\.$', '') AS host,
+         DATE '2024-01-01' + CAST(('0x' || substr(md5('f' || url), 1, 7))::BIGINT % 366 AS INTEGER) AS fetch_date
+  FROM pages),
+h AS (SELECT DISTINCT host FROM c WHERE url IS NOT NULL AND host <> ''),
+a AS (SELECT host, DATE '2024-01-01' + CAST(('0x' || substr(md5('a' || host), 1, 7))::BIGINT % 200 AS INTEGER) AS d
+      FROM h WHERE ('0x' || substr(md5('c' || host), 1, 7))::BIGINT % 3 = 0),
+i AS (
+  SELECT 'hosts' AS list_name, 'host:' || host AS pattern, d AS valid_from, d + 60 AS valid_to FROM a
+  UNION ALL SELECT 'hosts', 'host:' || host, d + 120, NULL FROM a
+  UNION ALL SELECT 'paths', 'path:' || host || '/en',
+         DATE '2024-01-01' + CAST(('0x' || substr(md5('q' || host), 1, 7))::BIGINT % 300 AS INTEGER), NULL
+  FROM h WHERE ('0x' || substr(md5('p' || host), 1, 7))::BIGINT % 10 = 0),
+u AS (SELECT DISTINCT url, host, fetch_date FROM c WHERE url IS NOT NULL),
+x AS (
+  SELECT url, fetch_date, unnest(list_concat(
+      list_transform(range(1, len(string_split(host, '.')) + 1),
+                     lambda k: 'host:' || array_to_string(string_split(host, '.')[k:], '.')),
+      list_transform(range(1, len(p) + 1), lambda k: 'path:' || host || '/' || array_to_string(p[1:k], '/')))) AS pattern
+  FROM (SELECT *, list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1), '/'),
+                              lambda s: s <> '') AS p FROM u)),
+m AS (
+  SELECT url, fetch_date, count(DISTINCT list_name) AS n_lists,
+         min(struct_pack(list_name := list_name, pattern := i.pattern, valid_from := valid_from)) AS hit
+  FROM x JOIN i ON x.pattern = i.pattern AND valid_from <= fetch_date AND (valid_to IS NULL OR fetch_date < valid_to)
+  GROUP BY url, fetch_date)
+SELECT c.page_id, c.host, c.fetch_date, CASE WHEN hit IS NULL THEN 'allowed' ELSE 'blocked' END AS verdict,
+       coalesce(n_lists, 0) AS n_lists, hit.list_name AS list_name, hit.pattern AS pattern,
+       hit.valid_from AS valid_from
+FROM c LEFT JOIN m ON c.url = m.url AND c.fetch_date = m.fetch_date""",
     "op10_decontaminate": f"""
 WITH d AS ({_SHINGLES.format(id="doc_id", table="documents")}),
 b AS ({_SHINGLES.format(id="item_id", table="benchmark")}),
