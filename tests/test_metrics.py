@@ -1,41 +1,59 @@
+import pytest
 from pyspark.sql import functions as F
 
 from reviewgate.functions import scores
 from reviewgate.operators import metrics
 
+# Published 95 % Wilson bounds of 80/100 and 247/269.
+WILSON = {(80, 100): (0.711171, 0.866633), (247, 269): (0.8793, 0.9454)}
 
-def test_classification_metrics(spark):
-    df = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (1, 1)], "label_id INT, pred_id INT")
-    m = metrics.classification_metrics(df).first()
-    assert m["accuracy"] == 0.75
-    assert round(m["macro_f1"], 6) == round((2 / 3 + 0.8) / 2, 6)
-    assert metrics.per_class_metrics(df).count() == 2
-
-
-def test_wilson(spark):
-    df = spark.createDataFrame([(80, 100), (247, 269)], "k BIGINT, n BIGINT")
-    lo, hi = scores.wilson_bounds(F.col("k"), F.col("n"))
-    rows = df.select(lo.alias("lo"), hi.alias("hi")).collect()
-    assert rows[0]["lo"] < 0.8 < rows[0]["hi"]
-    assert round(rows[0]["lo"], 6) == 0.711171 and round(rows[0]["hi"], 6) == 0.866633
-    assert round(rows[1]["lo"], 4) == 0.8793 and round(rows[1]["hi"], 4) == 0.9454
-
-
-def test_bootstrap_deterministic_and_bounded(spark):
-    df = spark.createDataFrame(list(zip([0, 0, 0, 1, 1, 1, 2, 2, 2], [0, 0, 1, 1, 1, 1, 2, 0, 2])),
-                               "label_id INT, pred_id INT")
-    a = metrics.bootstrap_macro_f1(df, 100, 53353).first()
-    b = metrics.bootstrap_macro_f1(df, 100, 53353).first()
-    assert a == b
-    assert 0.0 <= a["low"] <= a["estimate"] <= a["high"] <= 1.0
-    ids = df.withColumn("id", F.monotonically_increasing_id().cast("string"))
-    p = metrics.poisson_bootstrap_macro_f1(ids, 100).first()
-    assert 0.0 <= p["low"] <= p["high"] <= 1.0
-
-
-def test_risk_coverage(spark):
-    df = spark.createDataFrame([("a", 0.9, True), ("b", 0.8, False), ("c", 0.7, True)],
-                               "id STRING, confidence DOUBLE, correct BOOLEAN")
-    c = metrics.risk_coverage_curve(df).orderBy(F.col("coverage").desc()).collect()
-    assert [r["coverage"] for r in c] == [1.0, 2 / 3, 1 / 3]
-    assert [round(r["risk"], 9) for r in c] == [round(1 / 3, 9), 0.5, 0.0]
+
+def outcomes(spark, table):
+    """(label, prediction) rows from counts by cell."""
+    rows = [cell for cell, n in table.items() for _ in range(n)]
+    return spark.createDataFrame(rows, "label_id INT, pred_id INT")
+
+
+def macro_f1(table):
+    classes = {c for cell in table for c in cell}
+    total = 0.0
+    for c in classes:
+        hit = table.get((c, c), 0)
+        wrong = sum(n for (a, b), n in table.items() if (a == c) != (b == c))
+        total += 2 * hit / (2 * hit + wrong) if hit else 0.0
+    return total / len(classes)
+
+
+TABLE = {(0, 0): 7, (0, 1): 2, (1, 1): 5, (1, 2): 1, (2, 2): 4, (2, 0): 3}
+
+
+def test_accuracy_and_macro_f1(spark):
+    row = metrics.classification_metrics(outcomes(spark, TABLE)).first()
+    assert row.accuracy == pytest.approx(16 / 22) and row.macro_f1 == pytest.approx(macro_f1(TABLE))
+    assert metrics.per_class_metrics(outcomes(spark, TABLE)).count() == 3
+
+
+@pytest.mark.parametrize("counts", list(WILSON))
+def test_wilson_bounds(spark, counts):
+    low, high = scores.wilson_bounds(F.col("k"), F.col("n"))
+    row = spark.createDataFrame([counts], "k BIGINT, n BIGINT").select(low.alias("a"), high.alias("b")).first()
+    assert (row.a, row.b) == pytest.approx(WILSON[counts], abs=5e-5)
+
+
+def test_bootstrap_repeats_and_brackets_the_estimate(spark):
+    df = outcomes(spark, TABLE)
+    runs = [metrics.bootstrap_macro_f1(df, 200, seed).first() for seed in (5, 5, 6)]
+    assert runs[0] == runs[1]
+    for r in runs:
+        assert 0 <= r.low <= r.estimate <= r.high <= 1 and r.estimate == pytest.approx(macro_f1(TABLE))
+    rows = df.withColumn("id", F.monotonically_increasing_id().cast("string"))
+    row = metrics.poisson_bootstrap_macro_f1(rows, 100).first()
+    assert 0 <= row.low <= row.high <= 1
+
+
+def test_risk_falls_as_unsure_rows_are_left_out(spark):
+    answers = [True, True, False, True, False]
+    rows = [(str(i), 1 - i / 10, ok) for i, ok in enumerate(answers)]
+    curve = metrics.risk_coverage_curve(spark.createDataFrame(rows, "id STRING, confidence DOUBLE, correct BOOLEAN"))
+    got = {round(r.coverage * 5): r.risk for r in curve.collect()}
+    assert got == {k: pytest.approx(1 - sum(answers[:k]) / k) for k in range(1, 6)}
