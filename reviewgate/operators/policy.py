@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +57,7 @@ def threshold_curve(scored: DataFrame, group_cols: list[str] = ()) -> DataFrame:
     # aggregate, so the test is an aggregate output)
     per_value = scored.groupBy(*g, "confidence").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("correct").cast("long")).alias("k"),
-        F.max(F.col("confidence").isNull()).alias("_no_conf")) \
+        F.max(F.col("confidence").isNull() | F.isnan("confidence")).alias("_no_conf")) \
         .where(~F.col("_no_conf")).drop("_no_conf")
     ranked = ordered_positions(per_value, [F.col("confidence").desc()], g, sums=["n", "k"])
     return ranked.select(
@@ -118,14 +117,21 @@ def policy_frame(spark: SparkSession, threshold: float, target_met: bool) -> Dat
                                  POLICY_SCHEMA)
 
 
+def _one_policy(policy: DataFrame) -> DataFrame:
+    """``_t, _met`` in exactly one row: null where there is no policy, so joining
+    it never loses a row; more than one policy is an error."""
+    one = policy.agg(F.max("threshold").alias("_t"), F.max("target_met").alias("_met"),
+                     F.count(F.lit(1)).alias("_n"))
+    return one.select("_t", F.when(F.col("_n") > 1, F.raise_error(F.lit("more than one policy row")).cast("boolean"))
+                      .otherwise(F.col("_met")).alias("_met"))
+
+
 def apply_policy(scored: DataFrame, policy: DataFrame, confidence_level: float = 0.95) -> DataFrame:
     """Held-out outcome of a frozen policy (F8): accepted count, coverage,
     accuracy and its Wilson interval; the null block when the target was not
     met or nothing is accepted. One row out; the policy is one row."""
-    p = F.broadcast(policy.select(F.col("threshold").alias("_t"),
-                                  F.col("target_met").alias("_met")))
-    j = scored.crossJoin(p)
-    acc = F.coalesce(F.col("confidence") >= F.col("_t"), F.lit(False))
+    j = scored.crossJoin(F.broadcast(_one_policy(policy)))
+    acc = F.coalesce((F.col("confidence") >= F.col("_t")) & ~F.isnan("confidence"), F.lit(False))
     agg = j.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(acc).alias("acc_n"),
@@ -147,15 +153,16 @@ def apply_policy(scored: DataFrame, policy: DataFrame, confidence_level: float =
 def route(scored: DataFrame, policy: DataFrame, labels, k: int = config.TOP_K,
           route_action: str = config.ROUTE_ACTION) -> DataFrame:
     """Per-row routing decision (B13). The policy row is broadcast; a missing
-    policy, a null confidence or an unmet target all end in human review.
-    Carries no text column."""
-    p = F.broadcast(policy.select(F.col("threshold").alias("review_threshold"),
-                                  F.col("target_met").alias("_met")))
-    j = scored.crossJoin(p)
+    policy, an unmet target, and scores that are missing, not finite or not one
+    for each label all end in human review. Carries no text column."""
+    j = scored.crossJoin(F.broadcast(_one_policy(policy).withColumnRenamed("_t", "review_threshold")))
     met = F.coalesce(F.col("_met"), F.lit(False))
-    meets = met & F.coalesce(F.col("confidence") >= F.col("review_threshold"), F.lit(False))
+    usable = F.coalesce(~F.isnan("confidence") & F.col("confidence").between(0.0, 1.0)
+                        & (F.size("probs") == len(list(labels))), F.lit(False))
+    meets = met & usable & F.coalesce(F.col("confidence") >= F.col("review_threshold"), F.lit(False))
     action = F.when(meets, F.lit(route_action)).otherwise(F.lit(config.REVIEW_ACTION))
     reason = (F.when(meets, F.lit(config.REASON_MEETS))
+              .when(met & ~usable, F.lit(config.REASON_BAD_SCORES))
               .when(~met, F.lit(config.REASON_FAILS_CLOSED))
               .otherwise(F.lit(config.REASON_BELOW)))
     return j.select(
@@ -207,7 +214,3 @@ def deferral_summary(routed: DataFrame, route_action: str = config.ROUTE_ACTION)
         (F.col("accepted_count") / F.col("total_count")).alias("accepted_share"),
         (F.col("deferred_count") / F.col("total_count")).alias("deferred_share"),
     )
-
-
-def ceil_required(min_coverage: float, n: int) -> int:
-    return math.ceil(min_coverage * n)

@@ -1,3 +1,4 @@
+import pytest
 import math
 
 from pyspark.sql import functions as F
@@ -65,3 +66,22 @@ def test_score_shape(spark):
                                "logits ARRAY<DOUBLE>")
     got = [r["score_status"] for r in validate.validate_score_shape(df, 3).collect()]
     assert got == ["ok", "wrong_class_count", "non_finite_scores", "missing_scores"]
+
+
+def test_bad_scores_and_missing_policy_go_to_review(spark):
+    from pyspark.sql import functions as F
+
+    from reviewgate import config
+    from reviewgate.operators import policy as pol
+    nan, inf = float("nan"), float("inf")
+    rows = [("ok", [9.0, 0.0, 0.0]), ("nan", [nan, 1.0, 0.0]), ("inf", [inf, 1.0, 0.0]), ("short", [9.0, 0.0]),
+            ("null", None), ("hole", [9.0, None, 0.0])]
+    scored = pol.with_scores(spark.createDataFrame(rows, "id STRING, logits ARRAY<DOUBLE>"), label_col=None)
+    one = spark.createDataFrame([(0.9, True)], "threshold DOUBLE, target_met BOOLEAN")
+    got = {r.id: (r.recommended_action, r.review_reason) for r in pol.route(scored, one, ["a", "b", "c"]).collect()}
+    assert got.pop("ok") == (config.ROUTE_ACTION, config.REASON_MEETS)
+    assert set(got.values()) == {(config.REVIEW_ACTION, config.REASON_BAD_SCORES)} and len(got) == 5
+    none = pol.route(scored, one.where(F.lit(False)), ["a", "b", "c"]).collect()
+    assert len(none) == 6 and {r.recommended_action for r in none} == {config.REVIEW_ACTION}
+    with pytest.raises(Exception, match="more than one policy"):
+        pol.route(scored, one.unionAll(one), ["a", "b", "c"]).collect()
