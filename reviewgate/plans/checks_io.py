@@ -49,9 +49,11 @@ _ROWSTR = ("concat_ws(chr(31), coalesce(complaint_id, ''), coalesce(strftime(dat
 
 @register("content_fingerprint", PREPARED_SQL + f""", rows AS (SELECT split, sha256({_ROWSTR}) AS d FROM splits),
   cnt AS (SELECT split, d, count(*) AS c FROM rows GROUP BY 1, 2),
-  leaf AS (SELECT split, substr(d, 1, 2) AS p, sha256(string_agg(d || ':' || CAST(c AS VARCHAR), ',' ORDER BY d)) AS h
+  leaf AS (SELECT split, substr(d, 1, 4) AS p, sha256(string_agg(d || ':' || CAST(c AS VARCHAR), ',' ORDER BY d)) AS h
     FROM cnt GROUP BY 1, 2),
-  l1 AS (SELECT split, substr(p, 1, 1) AS p, sha256(string_agg(p || '=' || h, ',' ORDER BY p)) AS h FROM leaf GROUP BY 1, 2),
+  l3 AS (SELECT split, substr(p, 1, 3) AS p, sha256(string_agg(p || '=' || h, ',' ORDER BY p)) AS h FROM leaf GROUP BY 1, 2),
+  l2 AS (SELECT split, substr(p, 1, 2) AS p, sha256(string_agg(p || '=' || h, ',' ORDER BY p)) AS h FROM l3 GROUP BY 1, 2),
+  l1 AS (SELECT split, substr(p, 1, 1) AS p, sha256(string_agg(p || '=' || h, ',' ORDER BY p)) AS h FROM l2 GROUP BY 1, 2),
   l0 AS (SELECT split, sha256(string_agg(p || '=' || h, ',' ORDER BY p)) AS h FROM l1 GROUP BY 1)
   SELECT l0.split, h AS content_digest, n.count FROM l0 JOIN (SELECT split, count(*) AS count FROM splits GROUP BY 1) n
     ON l0.split = n.split""")

@@ -189,13 +189,13 @@ def q_split_counts(spark, sf_dir):
     return prepare.split_counts_check(fx.orders_cls(spark, sf_dir))
 
 
-PREPARED_SQL = (NAR + _sample_sql("nar", config.SAMPLES_PER_CLASS)
-                + _hashed("(SELECT complaint_id, date_received, issue, label, text FROM smp)")
+PREPARED_SQL = (NAR + _hashed("(SELECT complaint_id, date_received, issue, label, text FROM nar)")
                 + _KEPT + _split_sql("kept"))
 
 
 def prepared(spark, sf_dir):
-    return prepare.prepared_splits(_nar(spark, sf_dir))
+    """The whole table, deduplicated and split."""
+    return prepare.prepared_splits(_nar(spark, sf_dir), sample=False)
 
 
 @register("audit_split_leakage", PREPARED_SQL + """ SELECT label,

@@ -3,7 +3,6 @@ fingerprint and manifest (A1, A3-A6, A10)."""
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,17 +98,15 @@ def row_digest(df: DataFrame, columns) -> F.Column:
 
 
 def content_fingerprint(df: DataFrame, columns=None, group_col: str = "split",
-                        leaf_rows: int = 65536) -> DataFrame:
+                        depth: int = 4) -> DataFrame:
     """Order- and partitioning-independent SHA-256 per group (A5).
 
     Row digests are counted per distinct digest (so repeated rows never pile
-    up in one list), bucketed by their first L hex digits (L grows with the
-    data so a leaf holds about ``leaf_rows`` digests), hashed per bucket, and
+    up in one list), bucketed by their first ``depth`` hex digits (part of
+    the definition, whatever the number of rows), hashed per bucket, and
     folded up a 16-way tree of hex prefixes to one digest per group. Every
     level is a small grouped aggregate. Not equal to a hash of file bytes."""
     cols = sorted(columns or [c for c in df.columns if c != group_col])
-    n = df.count()
-    depth = max(2, math.ceil(math.log(max(n, 1) / leaf_rows, 16)) if n > leaf_rows else 2)
     d = df.select(F.col(group_col).alias("g"), row_digest(df, cols).alias("d"))
     cnt = d.groupBy("g", "d").agg(F.count(F.lit(1)).alias("c"))
     level = cnt.groupBy("g", F.substring("d", 1, depth).alias("p")).agg(

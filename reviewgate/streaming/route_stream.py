@@ -37,12 +37,13 @@ def read_stream(spark: SparkSession, path: str, schema: StructType,
 
 
 def run_to_parquet(routed: DataFrame, sink_path: str, checkpoint_path: str,
-                   timeout_s: int = 600) -> None:
-    """Process everything available now into a Parquet sink, then stop."""
+                   timeout_s: int | None = None) -> None:
+    """Process everything available now into a Parquet sink, then stop. No time
+    limit unless ``timeout_s`` is given."""
     q = (routed.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint_path)
          .trigger(availableNow=True).start(sink_path))
-    q.awaitTermination(timeout_s)
+    q.awaitTermination() if timeout_s is None else q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError("stream did not finish in time")
