@@ -13,8 +13,8 @@ range; it is broadcast only below a checked row bound.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -30,6 +30,8 @@ def _default_partitions(df: DataFrame) -> int:
 
 
 def _local_prefix_fn(sum_cols: list[str]):
+    """Numbers a task's rows and adds the exclusive running sums; the columns
+    that pass through stay the Arrow arrays they were."""
     def run(batches):
         from pyspark import TaskContext
 
@@ -37,16 +39,17 @@ def _local_prefix_fn(sum_cols: list[str]):
         pos = 0
         carry = {c: 0 for c in sum_cols}
         for batch in batches:
-            k = len(batch)
-            batch["_part"] = np.full(k, part, dtype=np.int64)
-            batch["_pos"] = np.arange(pos, pos + k, dtype=np.int64)
+            k = batch.num_rows
+            added = {"_part": np.full(k, part, dtype=np.int64),
+                     "_pos": np.arange(pos, pos + k, dtype=np.int64)}
             for c in sum_cols:
-                vals = batch[c].fillna(0).astype(np.int64)
-                run_sum = vals.cumsum()
-                batch[f"_pre_{c}"] = (run_sum - vals + carry[c]).astype(np.int64)
+                vals = batch.column(c).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+                added[f"_pre_{c}"] = np.cumsum(vals) - vals + carry[c]
                 carry[c] += int(vals.sum())
             pos += k
-            yield batch
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *(pa.array(v, pa.int64()) for v in added.values())],
+                [*batch.schema.names, *added])
 
     return run
 
@@ -75,7 +78,7 @@ def ordered_positions(df: DataFrame, order: list[Column], partition_by: list[str
         fields = list(df.schema.fields) + [StructField("_part", LongType()),
                                            StructField("_pos", LongType())]
         fields += [StructField(f"_pre_{c}", LongType()) for c in sums]
-        ranged = ranged.mapInPandas(_local_prefix_fn(sums), StructType(fields))
+        ranged = ranged.mapInArrow(_local_prefix_fn(sums), StructType(fields))
     else:
         mid = F.monotonically_increasing_id()
         ranged = ranged.withColumn("_mid", mid).select(
