@@ -50,16 +50,15 @@ def threshold_curve(scored: DataFrame, group_cols: list[str] = ()) -> DataFrame:
     Rows collapse to distinct confidences first (map-side combine); the
     descending prefix sums come from the distributed range-prefix helper."""
     g = list(group_cols)
-    # Null confidences are dropped after aggregation: a row-level filter on a
-    # computed score would be pushed below the scoring projection and inline
-    # the softmax into the filter.
-    # (a predicate on the grouping key would be pushed back through the
-    # aggregate, so the test is an aggregate output)
+    # Rows without a usable confidence rank last, so they count in the totals
+    # (the denominator of apply_policy) and are never accepted. The test is an
+    # aggregate output: a predicate on the grouping key would be pushed below
+    # the scoring projection and inline the softmax into the filter.
     per_value = scored.groupBy(*g, "confidence").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("correct").cast("long")).alias("k"),
-        F.max(F.col("confidence").isNull() | F.isnan("confidence")).alias("_no_conf")) \
-        .where(~F.col("_no_conf")).drop("_no_conf")
-    ranked = ordered_positions(per_value, [F.col("confidence").desc()], g, sums=["n", "k"])
+        F.max(F.col("confidence").isNull() | F.isnan("confidence")).alias("_no_conf"))
+    ranked = ordered_positions(per_value, [F.col("_no_conf"), F.col("confidence").desc()], g,
+                               sums=["n", "k"]).where(~F.col("_no_conf"))
     return ranked.select(
         *g,
         F.col("confidence").alias("threshold"),
@@ -175,9 +174,9 @@ def route(scored: DataFrame, policy: DataFrame, labels, k: int = config.TOP_K,
     )
 
 
-def present_routes(routed: DataFrame) -> DataFrame:
+def present_routes(routed: DataFrame, id_col: str = "id") -> DataFrame:
     """Display strings of a routed row (B14): percentages with one decimal,
-    route headline and detail."""
+    route headline and detail. ``id_col`` names the row (``doc_id`` for texts)."""
     def pct(c: Column) -> Column:
         return F.format_string("%.1f%%", c * F.lit(100.0))
     review = F.col("recommended_action") == F.lit(config.REVIEW_ACTION)
@@ -190,7 +189,7 @@ def present_routes(routed: DataFrame) -> DataFrame:
     top = F.transform(F.col("top_predictions"),
                       lambda s: F.concat(s["label"], F.lit(": "), pct(s["probability"])))
     return routed.select(
-        "id", "predicted_label",
+        id_col, "predicted_label",
         pct(F.col("confidence")).alias("confidence_text"),
         headline.alias("route"),
         detail.alias("route_detail"),

@@ -85,3 +85,18 @@ def test_bad_scores_and_missing_policy_go_to_review(spark):
     assert len(none) == 6 and {r.recommended_action for r in none} == {config.REVIEW_ACTION}
     with pytest.raises(Exception, match="more than one policy"):
         pol.route(scored, one.unionAll(one), ["a", "b", "c"]).collect()
+
+
+def test_curve_counts_rows_without_a_confidence_but_never_accepts_them(spark):
+    df = spark.createDataFrame([(0.9, True), (0.8, False), (float("nan"), True), (None, True)],
+                               "confidence DOUBLE, correct BOOLEAN")
+    got = sorted((r.threshold, r.accepted_count, r.correct_count, r.total_count)
+                 for r in policy.threshold_curve(df).collect())
+    assert got == [(0.8, 2, 1, 4), (0.9, 1, 1, 4)]
+
+
+def test_presented_rows_keep_the_named_id(spark):
+    df = spark.createDataFrame([(7, [2.0, 1.0, 0.0])], "doc_id LONG, logits ARRAY<DOUBLE>")
+    routed = policy.route(policy.with_scores(df, label_col=None),
+                          policy.policy_frame(spark, 0.1, True), LABELS)
+    assert policy.present_routes(routed, id_col="doc_id").first().doc_id == 7
