@@ -156,6 +156,8 @@ def fit_temperature(df: DataFrame, lower: float = config.MIN_TEMPERATURE,
             beta = nxt
             if done:
                 break
+        else:
+            raise RuntimeError(f"no convergence in {max_steps} steps")
         t = 1.0 / beta
         if not math.isfinite(t):
             raise RuntimeError("temperature fitting failed")

@@ -56,12 +56,13 @@ def read_narratives_csv(spark: SparkSession, path: str, products=None) -> DataFr
     """Header CSV export -> 5-field records (A1). Quoted newlines are kept
     (multiLine makes each file one split, so land it as Parquet once); a UTF-8
     byte-order mark on the first header is dropped; rows of other products
-    and rows without a narrative are skipped."""
+    and rows without a narrative are skipped. A date that is not yyyy-MM-dd
+    becomes null and its row stays, so one bad row never ends the read."""
     raw = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
     raw = raw.toDF(*[c.lstrip("\ufeff") for c in raw.columns])
     out = raw.select(
         F.col(EXPORT_ID).cast("string").alias("complaint_id"),
-        F.to_date(F.col(EXPORT_DATE), "yyyy-MM-dd").alias("date_received"),
+        F.try_to_date(F.col(EXPORT_DATE), "yyyy-MM-dd").alias("date_received"),
         F.col(EXPORT_ISSUE).alias("issue"),
         F.col(EXPORT_PRODUCT).alias("label"),
         F.col(EXPORT_NARRATIVE).alias("text"))
@@ -81,8 +82,10 @@ def write_jsonl(records: DataFrame, path: str, partition_by: str | None = None)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType = RECORD_SCHEMA) -> DataFrame:
-    """JSON lines with an explicit schema; blank lines are skipped (A3)."""
-    return spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    """JSON lines with an explicit schema; blank lines are skipped (A3). A line
+    that is not JSON of this schema ends the read with an error, never as an
+    empty record."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def row_digest(df: DataFrame, columns) -> F.Column:
