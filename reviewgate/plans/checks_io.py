@@ -160,19 +160,45 @@ def q_route_stream(spark, sf_dir):
 SQL["route_stream"] = SQL["route_reviews"]
 
 
-@register("route_batch")
+#: Temperature of the text-routing check: spreads the share model's confidences.
+_TEXT_T = 0.2
+_LABELS = "[" + ", ".join(f"'{lab}'" for lab in fx.LANG_CLASSES) + "]"
+
+
+def _route_batch_sql() -> str:
+    from .checks_features import SHARE_MARGINS_SQL
+    status = f"""CASE WHEN text IS NULL THEN 'not_text' WHEN length({sq.collapse('text')}) < {config.MIN_INPUT_CHARS} THEN 'too_short'
+         WHEN length({sq.collapse('text')}) > {config.MAX_INPUT_CHARS} THEN 'too_long' ELSE 'ok' END"""
+    t = sq.dbl(_TEXT_T)
+    return SHARE_MARGINS_SQL + f""",
+  pr AS (SELECT doc_id, split, text, pred_id, coalesce(pred_id = label_id, false) AS correct,
+      1.0 / list_sum(list_transform(logits, lambda z: exp((z - top) / {t}))) AS confidence FROM mg),
+  cv AS (SELECT confidence AS threshold, sum(n) OVER w AS accepted, sum(good) OVER w AS right_
+    FROM (SELECT confidence, count(*) AS n, count(*) FILTER (WHERE correct) AS good FROM pr
+          WHERE split = 'calibration' GROUP BY 1)
+    WINDOW w AS (ORDER BY confidence DESC ROWS UNBOUNDED PRECEDING)),
+  pol AS (SELECT threshold FROM cv WHERE right_ / CAST(accepted AS DOUBLE) + 1e-12::DOUBLE >= {sq.dbl(config.TARGET_ACCURACY)}
+    ORDER BY accepted DESC, threshold LIMIT 1),
+  st AS (SELECT *, {status} AS input_status FROM pr WHERE split = 'test')
+  SELECT doc_id, input_status,
+    CASE WHEN input_status = 'ok' THEN {_LABELS}[pred_id + 1] END AS predicted_label,
+    CASE WHEN input_status = 'ok' AND coalesce(confidence >= (SELECT threshold FROM pol), false)
+         THEN '{config.ROUTE_ACTION}' ELSE '{config.REVIEW_ACTION}' END AS recommended_action
+  FROM st"""
+
+
+@register("route_batch", _route_batch_sql())
 def q_route_batch(spark, sf_dir):
-    from ..operators import calibrate, linear
-    from .checks_features import fitted_baseline
+    from ..operators import linear
+    from .checks_features import share_model
     from .routing import route_texts
-    docs, model, weights, inter = fitted_baseline(spark, sf_dir)
+    docs, model, weights, inter = share_model(spark, sf_dir)
     cal = docs.where(F.col("split") == "calibration")
     cal_logits = linear.ovr_margins(model.transform(cal), cal, weights, inter) \
         .join(cal.select("doc_id", "label_id"), "doc_id")
-    t = calibrate.fit_temperature(cal_logits)
-    chosen = policy.select_confidence_threshold(policy.with_scores(cal_logits, t))
+    chosen = policy.select_confidence_threshold(policy.with_scores(cal_logits, _TEXT_T))
     test = docs.where(F.col("split") == "test").select("doc_id", "text")
-    out = route_texts(test, model, weights, inter, t, chosen, fx.LANG_CLASSES)
+    out = route_texts(test, model, weights, inter, _TEXT_T, chosen, fx.LANG_CLASSES)
     return out.select("doc_id", "input_status", "predicted_label", "recommended_action")
 
 

@@ -156,11 +156,44 @@ def q_nll_grid(spark, sf_dir):
     return rounded(calibrate.nll_grid(_cal(_lines(spark, sf_dir)), GRID))
 
 
-@register("fit_temperature")
+# The NLL is convex in b = 1/T: halve the bracket on the sign of its slope.
+_FIT_CTE = f"""WITH RECURSIVE sl AS ({sq.SCORED_LINES}),
+  dl AS (SELECT logits[1] AS l0, logits[2] AS l1, logits[3] AS l2, logits[label_id + 1] AS ly, count(*) AS n
+         FROM sl WHERE split = 'calibration' GROUP BY ALL),
+  halve(step, lo, hi) AS (
+    SELECT 0, 1.0::DOUBLE / {sq.dbl(config.MAX_TEMPERATURE)}, 1.0::DOUBLE / {sq.dbl(config.MIN_TEMPERATURE)}
+    UNION ALL
+    SELECT step + 1, CASE WHEN slope > 0 THEN lo ELSE mid END, CASE WHEN slope > 0 THEN mid ELSE hi END
+    FROM (SELECT step, lo, hi, (lo + hi) / 2 AS mid,
+            (SELECT sum(n * ((l0 * exp(l0 * (lo + hi) / 2) + l1 * exp(l1 * (lo + hi) / 2) + l2 * exp(l2 * (lo + hi) / 2))
+                             / (exp(l0 * (lo + hi) / 2) + exp(l1 * (lo + hi) / 2) + exp(l2 * (lo + hi) / 2)) - ly))
+             FROM dl) AS slope
+          FROM halve WHERE step < 45)),
+  fitted AS (SELECT 2.0 / (lo + hi) AS t FROM halve WHERE step = 45)"""
+
+
+def _before_after_sql(head: str, after: float | str, columns: str) -> str:
+    t = after if isinstance(after, str) else sq.dbl(after)
+    return head + f""", s AS (
+      SELECT 'before' AS stage, 1.0::DOUBLE AS temperature, * FROM ({sq.scored(1.0)}) WHERE split = 'calibration'
+      UNION ALL
+      SELECT 'after', {t}, * FROM ({sq.scored(t)}) WHERE split = 'calibration'),
+    b AS (SELECT stage, temperature, {sq.bin_case('confidence', 15)} AS bin, count(*) AS n,
+      sum(-ln(greatest(least(CASE label_id WHEN 0 THEN p0 WHEN 1 THEN p1 ELSE p2 END, 1.0::DOUBLE), 1e-12::DOUBLE))) AS nll_sum,
+      avg(CAST(correct AS DOUBLE)) AS acc, avg(confidence) AS conf FROM s GROUP BY 1, 2, 3),
+    f AS (SELECT stage, temperature, sum(nll_sum) / sum(n) AS nll,
+      coalesce(sum(CASE WHEN bin IS NOT NULL THEN n * abs(acc - conf) END) / sum(n), 0.0) AS ece
+      FROM b GROUP BY stage, temperature)
+    SELECT {columns} FROM f"""
+
+
+@register("fit_temperature", _before_after_sql(_FIT_CTE, "(SELECT t FROM fitted)", """stage,
+    round(temperature, 4) AS temperature, round(nll, 7) AS nll, round(ece, 5) AS ece"""))
 def q_fit_temperature(spark, sf_dir):
     cal = _cal(_lines(spark, sf_dir))
-    t = calibrate.fit_temperature(cal)
-    return rounded(calibrate.calibration_before_after(cal, t))
+    fit = calibrate.calibration_before_after(cal, calibrate.fit_temperature(cal))
+    return fit.select("stage", F.round("temperature", 4).alias("temperature"),
+                      F.round("nll", 7).alias("nll"), F.round("ece", 5).alias("ece"))
 
 
 def _ece_sql(where: str, n_bins: int) -> str:
@@ -238,25 +271,8 @@ def q_apply_policy(spark, sf_dir):
     return rounded(policy.apply_policy(_test(s), policy.select_confidence_threshold(_cal(s))))
 
 
-def _before_after_sql():
-    parts = []
-    for tag, t in (("before", 1.0), ("after", T)):
-        parts.append(WITH_SL.replace("WITH sl AS", f"sl_{tag} AS") if False else "")
-    sc_b = sq.scored(1.0, "sl")
-    sc_a = sq.scored(T, "sl")
-    return WITH_SL + f""", s AS (
-      SELECT 'before' AS stage, 1.0::DOUBLE AS temperature, * FROM ({sc_b}) WHERE split = 'calibration'
-      UNION ALL
-      SELECT 'after', {sq.dbl(T)}, * FROM ({sc_a}) WHERE split = 'calibration'),
-    b AS (SELECT stage, temperature, {sq.bin_case('confidence', 15)} AS bin, count(*) AS n,
-      sum(-ln(greatest(least(CASE label_id WHEN 0 THEN p0 WHEN 1 THEN p1 ELSE p2 END, 1.0::DOUBLE), 1e-12::DOUBLE))) AS nll_sum,
-      avg(CAST(correct AS DOUBLE)) AS acc, avg(confidence) AS conf FROM s GROUP BY 1, 2, 3)
-    SELECT stage, temperature, {r('sum(nll_sum) / sum(n)', 'nll')},
-      {r('coalesce(sum(CASE WHEN bin IS NOT NULL THEN n * abs(acc - conf) END) / sum(n), 0.0)', 'ece')}
-    FROM b GROUP BY stage, temperature"""
-
-
-@register("calibration_before_after", _before_after_sql())
+@register("calibration_before_after", _before_after_sql(
+    WITH_SL, T, f"stage, temperature, {r('nll', 'nll')}, {r('ece', 'ece')}"))
 def q_before_after(spark, sf_dir):
     return rounded(calibrate.calibration_before_after(_cal(_lines(spark, sf_dir)), T))
 
@@ -356,9 +372,21 @@ def q_classification(spark, sf_dir):
     return rounded(metrics.classification_metrics(_test(_scored(spark, sf_dir))))
 
 
-@register("bootstrap_macro_f1")
+@register("bootstrap_macro_f1", _CELLS + f""" SELECT {r('avg(f1)', 'estimate')}, 0.95::DOUBLE AS confidence,
+    CAST({config.BOOTSTRAP_RESAMPLES} AS INTEGER) AS resamples, true AS ordered, true AS near_poisson FROM pcm""")
 def q_bootstrap(spark, sf_dir):
-    return rounded(metrics.bootstrap_macro_f1(_test(_scored(spark, sf_dir))))
+    """The interval's ends are random draws: the check asks that they enclose
+    the estimate and lie within half a width of the row-hash bootstrap's."""
+    test = _test(_scored(spark, sf_dir))
+    drawn = metrics.bootstrap_macro_f1(test)
+    other = metrics.poisson_bootstrap_macro_f1(test).select(
+        F.col("low").alias("_low"), F.col("high").alias("_high"))
+    half = (F.col("_high") - F.col("_low")) / 2
+    return rounded(drawn.crossJoin(other).select(
+        "estimate", "confidence", "resamples",
+        ((F.col("low") <= F.col("estimate")) & (F.col("estimate") <= F.col("high"))).alias("ordered"),
+        ((F.abs(F.col("low") - F.col("_low")) <= half)
+         & (F.abs(F.col("high") - F.col("_high")) <= half)).alias("near_poisson")))
 
 
 def _poisson_sql(n_resamples: int) -> str:

@@ -59,9 +59,10 @@ SCORED_LINES = """SELECT id, label_id, pred_b, split,
           FROM lineitem))"""
 
 
-def scored(temperature: float, source: str = "sl") -> str:
-    """Temperature softmax over the 3-logit fixture, written out per class."""
-    t = dbl(temperature)
+def scored(temperature: float | str, source: str = "sl") -> str:
+    """Temperature softmax over the 3-logit fixture, written out per class.
+    The temperature is a number or a SQL expression."""
+    t = temperature if isinstance(temperature, str) else dbl(temperature)
     return f"""SELECT *, round(greatest(p0, p1, p2), 12) AS confidence,
           CAST(CASE WHEN p0 = greatest(p0, p1, p2) THEN 0
                WHEN p1 = greatest(p0, p1, p2) THEN 1 ELSE 2 END AS INTEGER) AS pred_id,
