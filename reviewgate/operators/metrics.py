@@ -94,15 +94,15 @@ def _macro_f1_np(cells: np.ndarray) -> float:
 
 def bootstrap_replicates(df: DataFrame, n_resamples: int = config.BOOTSTRAP_RESAMPLES,
                          seed: int = config.SEED, label_col: str = "label_id",
-                         pred_col: str = "pred_id") -> DataFrame:
+                         pred_col: str = "pred_id", cells: DataFrame | None = None) -> DataFrame:
     """Macro-F1 of ``n_resamples`` row resamples with replacement.
 
     Resampling n rows is one multinomial draw over the confusion cells, so
     the rows are aggregated once on Spark (at most K^2 cells reach the
-    driver) and the replicates run as ``spark.range(B)`` tasks, each seeded
+    driver; give ``cells`` where they are known) and the replicates run as ``spark.range(B)`` tasks, each seeded
     from (seed, replicate) so partitioning cannot change a draw."""
     spark = df.sparkSession
-    cells = confusion_cells(df, label_col, pred_col).collect()
+    cells = (confusion_cells(df, label_col, pred_col) if cells is None else cells).collect()
     if not cells:
         raise ValueError("labels and predictions must be non-empty")
     classes = sorted({r["label_id"] for r in cells} | {r["pred_id"] for r in cells},
@@ -132,13 +132,15 @@ def bootstrap_replicates(df: DataFrame, n_resamples: int = config.BOOTSTRAP_RESA
 
 def bootstrap_macro_f1(df: DataFrame, n_resamples: int = config.BOOTSTRAP_RESAMPLES,
                        seed: int = config.SEED, confidence_level: float = config.BOOTSTRAP_CONFIDENCE,
-                       label_col: str = "label_id", pred_col: str = "pred_id") -> DataFrame:
+                       label_col: str = "label_id", pred_col: str = "pred_id",
+                       cells: DataFrame | None = None) -> DataFrame:
     """Percentile interval (linear interpolation, as numpy.quantile)."""
     if n_resamples <= 0 or not 0 < confidence_level < 1:
         raise ValueError("invalid bootstrap inputs")
     alpha = (1 - confidence_level) / 2
-    reps = bootstrap_replicates(df, n_resamples, seed, label_col, pred_col)
-    est = classification_metrics(df, label_col, pred_col).select("macro_f1")
+    cells = confusion_cells(df, label_col, pred_col) if cells is None else cells
+    reps = bootstrap_replicates(df, n_resamples, seed, label_col, pred_col, cells)
+    est = summary_from_per_class(per_class_from_cells(cells)).select("macro_f1")
     q = reps.agg(F.percentile("macro_f1", F.lit(alpha)).alias("low"),
                  F.percentile("macro_f1", F.lit(1 - alpha)).alias("high"))
     return est.crossJoin(q).select(

@@ -202,7 +202,59 @@ def q_route_batch(spark, sf_dir):
     return out.select("doc_id", "input_status", "predicted_label", "recommended_action")
 
 
-@register("experiment_report")
+def _report_sql() -> str:
+    """The report's scalars and its class lists, flattened, at a fixed temperature."""
+    from .registry import _POLICY_CTE, _W
+    nll = ("avg(-ln(greatest(least(CASE label_id WHEN 0 THEN p0 WHEN 1 THEN p1 WHEN 2 THEN p2 END, "
+           "1.0::DOUBLE), 1e-12::DOUBLE)))")
+
+    def rates(pred: str) -> str:
+        return f"""SELECT class_id, CASE WHEN s + p > 0 THEN 2.0 * t / (s + p) ELSE 0.0 END AS f1, s, t
+          FROM (SELECT class_id, count(*) FILTER (WHERE label_id = class_id) AS s,
+                  count(*) FILTER (WHERE {pred} = class_id) AS p,
+                  count(*) FILTER (WHERE label_id = class_id AND {pred} = class_id) AS t
+                FROM sc CROSS JOIN (VALUES (0), (1), (2)) v(class_id) WHERE split = 'test' GROUP BY 1)"""
+    bins = f"""SELECT sum(n * abs(acc - conf)) / sum(n) AS ece FROM (
+        SELECT count(*) AS n, avg(CAST(correct AS DOUBLE)) AS acc, avg(confidence) AS conf FROM sc
+        WHERE split = 'calibration' GROUP BY {sq.bin_case('confidence', 15)})"""
+    return _POLICY_CTE + f""", ra AS ({rates('pred_id')}), rb AS ({rates('pred_b')}),
+    ap AS (SELECT count(*) AS n, count(*) FILTER (WHERE confidence >= pol.threshold) AS acc_n,
+        count(*) FILTER (WHERE confidence >= pol.threshold AND correct) AS acc_k
+      FROM sc CROSS JOIN pol WHERE split = 'test' AND target_met)
+  SELECT (SELECT count(*) FROM sc WHERE split = 'calibration') AS calibration_n,
+    (SELECT count(*) FROM sc WHERE split = 'test') AS test_n,
+    {r('(SELECT sum(t) / CAST(sum(s) AS DOUBLE) FROM ra)', 'accuracy')},
+    {r('(SELECT avg(f1) FROM ra)', 'macro_f1')},
+    {r('(SELECT sum(f1 * s) / sum(s) FROM ra)', 'weighted_f1')},
+    {r('(SELECT avg(f1) FROM rb)', 'baseline_macro_f1')},
+    {r('(SELECT avg(f1) FROM rb) - (SELECT avg(f1) FROM ra)', 'improvement')},
+    {r(f"(SELECT {nll} FROM sc WHERE split = 'calibration')", 'calibration_nll')},
+    {r(f"(SELECT {nll} FROM sc WHERE split = 'test')", 'test_nll')},
+    round(({bins}), 6) AS calibration_ece,
+    {r('pol.threshold', 'threshold')}, pol.accepted_count, pol.target_met,
+    CASE WHEN pol.target_met THEN (SELECT acc_n FROM ap) ELSE 0 END AS test_accepted,
+    {r(f'(SELECT {_W[0]} FROM ap WHERE acc_n > 0)', 'test_wilson_low')},
+    (SELECT string_agg(printf('%d:%.6f', class_id, f1), ' ' ORDER BY class_id) FROM ra) AS class_f1,
+    true AS interval_encloses FROM pol"""
+
+
+@register("experiment_report", _report_sql())
 def q_report(spark, sf_dir):
-    from .report import experiment_report, report_json
-    return report_json(experiment_report(spark, sf_dir))
+    from .report import report_of
+    rep = report_of(_scored(spark, sf_dir), T)
+    after = "filter({}, x -> x.stage = 'after')[0]"
+    return rounded(rep.select(
+        F.col("sample_counts.calibration").alias("calibration_n"), F.col("sample_counts.test").alias("test_n"),
+        "model.accuracy", "model.macro_f1", "model.weighted_f1",
+        F.col("baseline.macro_f1").alias("baseline_macro_f1"), "primary_hypothesis.improvement",
+        F.expr(after.format("calibration")).nll.alias("calibration_nll"),
+        F.expr(after.format("calibration_test")).nll.alias("test_nll"),
+        F.round(F.expr(after.format("calibration")).ece, 6).alias("calibration_ece"),
+        "review_policy_calibration.threshold", "review_policy_calibration.accepted_count",
+        "review_policy_calibration.target_met",
+        F.col("review_policy_test.accepted_count").alias("test_accepted"),
+        F.col("review_policy_test.wilson_low").alias("test_wilson_low"),
+        F.array_join(F.transform("model_classes", lambda c: F.format_string("%d:%.6f", c.class_id, c.f1)), " ")
+        .alias("class_f1"),
+        ((F.col("model_macro_f1_interval.low") <= F.col("model.macro_f1"))
+         & (F.col("model.macro_f1") <= F.col("model_macro_f1_interval.high"))).alias("interval_encloses")))
