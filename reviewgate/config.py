@@ -35,7 +35,9 @@ CHAR_MAX_FEATURES = 60000
 MIN_DF = 2
 LOGISTIC_C = 4.0
 LOGISTIC_MAX_ITER = 1000
-LOGISTIC_TOL = 1e-4
+# Spark's L-BFGS stops on the relative fall of the loss: 1e-4 leaves up to 1.3 % of
+# the starting gradient, 1e-6 under 0.06 % (the reference's rule is on the gradient).
+LOGISTIC_TOL = 1e-6
 
 ROUTE_ACTION = "model_assisted_route"
 REVIEW_ACTION = "human_review"
