@@ -47,20 +47,47 @@ _ROWSTR = ("concat_ws(chr(31), coalesce(complaint_id, ''), coalesce(strftime(dat
            "coalesce(issue, ''), coalesce(label, ''), coalesce(narrative_hash, ''), coalesce(text, ''))")
 
 
-@register("content_fingerprint", PREPARED_SQL + f""", rows AS (SELECT split, sha256({_ROWSTR}) AS d FROM splits),
+_DIGESTS = PREPARED_SQL + f""", rows AS (SELECT split, sha256({_ROWSTR}) AS d FROM splits),
   cnt AS (SELECT split, d, count(*) AS c FROM rows GROUP BY 1, 2),
   leaf AS (SELECT split, substr(d, 1, 4) AS p, sha256(string_agg(d || ':' || CAST(c AS VARCHAR), ',' ORDER BY d)) AS h
     FROM cnt GROUP BY 1, 2),
   l3 AS (SELECT split, substr(p, 1, 3) AS p, sha256(string_agg(p || '=' || h, ',' ORDER BY p)) AS h FROM leaf GROUP BY 1, 2),
   l2 AS (SELECT split, substr(p, 1, 2) AS p, sha256(string_agg(p || '=' || h, ',' ORDER BY p)) AS h FROM l3 GROUP BY 1, 2),
   l1 AS (SELECT split, substr(p, 1, 1) AS p, sha256(string_agg(p || '=' || h, ',' ORDER BY p)) AS h FROM l2 GROUP BY 1, 2),
-  l0 AS (SELECT split, sha256(string_agg(p || '=' || h, ',' ORDER BY p)) AS h FROM l1 GROUP BY 1)
+  l0 AS (SELECT split, sha256(string_agg(p || '=' || h, ',' ORDER BY p)) AS h FROM l1 GROUP BY 1)"""
+
+
+@register("content_fingerprint", _DIGESTS + """
   SELECT l0.split, h AS content_digest, n.count FROM l0 JOIN (SELECT split, count(*) AS count FROM splits GROUP BY 1) n
     ON l0.split = n.split""")
 def q_fingerprint(spark, sf_dir):
     return io.content_fingerprint(prepared(spark, sf_dir).select(*SPLIT_COLS, "split"), SPLIT_COLS)
 
 
+@register("preparation_manifest", _DIGESTS + """,
+  st AS (SELECT (SELECT count(*) FROM nar) AS input_count, count(*) FILTER (WHERE mn = mx) AS output_count,
+    CAST(coalesce(sum(n - 1) FILTER (WHERE mn = mx), 0) AS BIGINT) AS duplicate_count,
+    CAST(coalesce(sum(n) FILTER (WHERE mn <> mx), 0) AS BIGINT) AS conflict_count,
+    (SELECT count(*) FROM nar) - CAST(coalesce(sum(n), 0) AS BIGINT) AS dropped_count FROM grp),
+  src AS (SELECT coalesce(label, '-') AS label, count(*) AS n FROM nar GROUP BY 1),
+  sl AS (SELECT split, string_agg(label || '=' || n, ',' ORDER BY label) AS labels, sum(n) AS n
+    FROM (SELECT split, label, count(*) AS n FROM splits GROUP BY 1, 2) GROUP BY 1)
+  SELECT st.*, (SELECT string_agg(label || '=' || n, ',' ORDER BY label) FROM src) AS source_counts,
+    (SELECT string_agg(split || ':' || sl.n || ':' || l0.h || ':' || labels, ' ' ORDER BY split)
+     FROM l0 JOIN sl USING (split)) AS splits FROM st""")
+def q_preparation_manifest(spark, sf_dir):
+    """The manifest of the whole table, its lists written out as text."""
+    m = io.split_manifest(fx.narratives(spark, sf_dir),
+                          prepared(spark, sf_dir).select(*SPLIT_COLS, "split"), SPLIT_COLS)
+
+    def counts(column):
+        return F.array_join(F.transform(column, lambda e: F.concat(
+            F.coalesce(e["label"], F.lit("-")), F.lit("="), e["count"].cast("string"))), ",")
+    return m.select("deduplication.*", counts(F.col("source_counts")).alias("source_counts"), F.array_join(
+        F.transform("splits", lambda e: F.concat_ws(
+            ":", e["split"], e["count"].cast("string"), e["content_digest"], counts(e["labels"]))), " ").alias("splits"))
+
+
 def _model_policies(spark, sf_dir):
     """One policy per model: the first hex digit of the row id names the model."""
     s = _cal(_scored(spark, sf_dir)).withColumn("model", F.concat(F.lit("m"), F.substring("id", 1, 1)))

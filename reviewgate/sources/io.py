@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
+from ..operators.prepare import dedup_stats
+
 RECORD_SCHEMA = StructType([
     StructField("complaint_id", StringType()),
     StructField("date_received", DateType()),
@@ -125,3 +127,22 @@ def content_fingerprint(df: DataFrame, columns=None, group_col: str = "split",
     counts = df.groupBy(F.col(group_col).alias("g")).agg(F.count(F.lit(1)).alias("count"))
     return level.join(counts, "g").select(F.col("g").alias(group_col),
                                           F.col("h").alias("content_digest"), "count")
+
+
+def split_manifest(source: DataFrame, splits: DataFrame, columns=None) -> DataFrame:
+    """One row that states a preparation run (A6): rows of the source by label,
+    the deduplication counters, and per split its rows by label and its content
+    digest over ``columns``. All lists are bounded by splits and labels; it
+    holds no text and no ids. Serialise with ``to_json``; an empty source gives
+    zero counters and empty lists."""
+    stats = dedup_stats(source)
+    stats = stats.select(F.struct(*[
+        F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in stats.columns]).alias("deduplication"))
+    by_label = source.groupBy("label").count()
+    labels = splits.groupBy("split", "label").count().groupBy("split").agg(
+        F.array_sort(F.collect_list(F.struct("label", "count"))).alias("labels"))
+    parts = content_fingerprint(splits, columns).join(labels, "split")
+    return stats.crossJoin(by_label.agg(
+        F.array_sort(F.collect_list(F.struct("label", "count"))).alias("source_counts"))).crossJoin(
+        parts.agg(F.array_sort(F.collect_list(
+            F.struct("split", "count", "content_digest", "labels"))).alias("splits")))  # one row each

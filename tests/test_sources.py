@@ -18,3 +18,12 @@ def test_a_broken_line_is_an_error(spark, tmp_path):
     (tmp_path / "x.json").write_text('{"complaint_id": "1", "text": "ok"}\n{"complaint_id": "2", \n')
     with pytest.raises(Exception, match="(?i)malformed"):
         io.read_jsonl(spark, str(tmp_path / "x.json")).collect()
+
+
+def test_manifest_of_nothing_is_one_row_of_zeros(spark):
+    from reviewgate.sources.io import split_manifest
+    source = spark.createDataFrame([], "complaint_id STRING, date_received DATE, issue STRING, label STRING, text STRING")
+    splits = spark.createDataFrame([], "complaint_id STRING, label STRING, text STRING, split STRING")
+    rows = split_manifest(source, splits).collect()
+    assert len(rows) == 1 and set(rows[0].deduplication) == {0}
+    assert rows[0].source_counts == [] and rows[0].splits == []
