@@ -1,9 +1,9 @@
 """Removal of lines and passages that occur earlier in the corpus.
 
-A text is cut into units: a unit ends at a line end, or, inside long lines, at
-a place that the words themselves choose (the hash of the last two words), but
-never before ``min_words`` words. So a passage gives the same units wherever it
-stands, also in the middle of another line. Units are normalised (ASCII case
+A text is cut into units: a unit ends at every line end, and, inside long
+lines, at places that the words themselves choose (the hash of two words), with
+``min_words`` words at least to either end of the line. So a line gives the
+same units under any other line. Units are normalised (ASCII case
 and all punctuation and space ignored), digested, and grouped over the corpus.
 The occurrence with the smallest (doc_id, text hash, offset) stays, the others
 are cut out; everything else stays byte for byte.
@@ -36,16 +36,23 @@ def text_units(text: bytes, min_words: int = MIN_WORDS):
         return (np.empty(0, np.int64),) * 4
     lines = np.flatnonzero(np.frombuffer(text, np.uint8) == 10)
     line = np.searchsorted(lines, starts)
+    edges = np.flatnonzero(np.append(True, line[1:] != line[:-1])).tolist() + [n]
     pair = mix(hashes[:-1] * np.uint64(3) + hashes[1:])
-    may = (line[1:] != line[:-1]) | ((pair & _BREAK) == 0)
-    first, at = [0], 0
-    for k in (np.flatnonzero(may) + 1).tolist() + [n]:
-        while k - at > MAX_WORDS:
+    may = (np.flatnonzero((pair & _BREAK) == 0) + 1).tolist()
+    first, m = [], 0
+    for at, end in zip(edges, edges[1:]):
+        first.append(at)
+        while m < len(may) and may[m] < end:
+            k, m = may[m], m + 1
+            while k - at > MAX_WORDS:
+                at += MAX_WORDS
+                first.append(at)
+            if k - at >= min_words and end - k >= min_words:
+                at = k
+                first.append(at)
+        while end - at > MAX_WORDS + min_words:
             at += MAX_WORDS
             first.append(at)
-        if k - at >= min_words and k < n:
-            at = k
-            first.append(at)
     first = np.array(first)
     last = np.append(first[1:], n)
     again = mix(hashes ^ np.uint64(0x5851F42D4C957F2D))

@@ -74,3 +74,20 @@ def test_repeated_rows_and_columns(spark, make_docs):
 
 def test_empty(spark, make_docs):
     assert substring_dedup(make_docs([])).collect() == []
+
+
+def test_repeated_lines_against_plain_line_grouping(spark, make_docs):
+    """No text_units here: a later copy of a line of five or more words goes whole."""
+    rng = random.Random(20)
+    lines = [prose(100 + k, rng.randint(5, 40)) for k in range(40)]
+    docs = [(i, "\n".join(x for k in range(8) for x in
+                          (prose(1000 * i + k, rng.randint(1, 4)), rng.choice(lines)))) for i in range(1, 40)]
+    seen, want = set(), {}
+    for i, text in docs:
+        want[i] = []
+        for line in text.split("\n"):
+            if len(line.split()) < 5 or line not in seen:
+                want[i].append(line)
+            seen.add(line)
+    got = {r.doc_id: r.kept_text for r in substring_dedup(make_docs(docs)).collect()}
+    assert {i: t.split() for i, t in got.items()} == {i: " ".join(x).split() for i, x in want.items()}
