@@ -31,7 +31,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup(table(spark, sf_dir, "documents"), min_words=5)
+    return substring_dedup(table(spark, sf_dir, "documents"), min_words=5, extend=True)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

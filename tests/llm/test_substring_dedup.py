@@ -91,3 +91,26 @@ def test_repeated_lines_against_plain_line_grouping(spark, make_docs):
             seen.add(line)
     got = {r.doc_id: r.kept_text for r in substring_dedup(make_docs(docs)).collect()}
     assert {i: t.split() for i, t in got.items()} == {i: " ".join(x).split() for i, x in want.items()}
+
+
+def test_passage_in_differing_text_goes_whole(spark, make_docs):
+    """Passages of 50 words in the middle of a line; the copies also stand twice in one table row."""
+    docs, passages = [], []
+    for k in range(60):
+        passages.append(prose(5000 + k, 50))
+        for copy in range(2):
+            docs.append((2 * k + copy, f"{prose(7000 + 2 * k + copy, 30)} {passages[-1]} {prose(9000 + 2 * k + copy, 30)}"))
+    docs += [docs[1], docs[1]]
+    for r in substring_dedup(make_docs(docs), extend=True).collect():
+        k, copy = divmod(r.doc_id, 2)
+        rest = f"{prose(7000 + r.doc_id, 30)} {prose(9000 + r.doc_id, 30)}"
+        whole = dict(docs)[r.doc_id]
+        assert r.kept_text == (rest if copy else whole)
+        assert r.n_removed == len(whole.encode()) - len(r.kept_text.encode())
+
+
+def test_short_lines_inside_a_passage_go(spark, make_docs):
+    song = "\n".join(prose(300 + k, 3 if k % 5 else 9) for k in range(40))
+    docs = [(1, prose(1, 9) + "\n" + song + "\n" + prose(2, 9)), (2, prose(3, 9) + "\n" + song + "\n" + prose(4, 9))]
+    got = {r.doc_id: r.kept_text for r in substring_dedup(make_docs(docs), extend=True).collect()}
+    assert got == {1: docs[0][1], 2: prose(3, 9) + "\n" + prose(4, 9)}
