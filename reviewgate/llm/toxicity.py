@@ -128,9 +128,12 @@ def _strongest(pieces: DataFrame, own: str, other: str, n_own: int, n_other: int
     return kept
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple:
-    """Newton steps on a ridge-penalised logistic curve over standardised columns."""
-    center, scale = x.mean(axis=0), x.std(axis=0)
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rows: np.ndarray | None = None) -> tuple:
+    """Newton steps on a ridge-penalised logistic curve over standardised columns;
+    ``rows`` are the weights of the rows."""
+    r = np.ones(len(x)) if rows is None else rows
+    center = np.average(x, axis=0, weights=r)
+    scale = np.sqrt(np.average((x - center) ** 2, axis=0, weights=r))
     scale[scale == 0] = 1.0
     z = np.hstack([np.ones((len(x), 1)), (x - center) / scale])
     w = np.zeros(z.shape[1])
@@ -138,8 +141,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple:
     penalty[0] = 1e-6
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(penalty),
-                               z.T @ (y - p) - penalty * w)
+        step = np.linalg.solve((z * (r * p * (1 - p))[:, None]).T @ z + np.diag(penalty),
+                               z.T @ (r * (y - p)) - penalty * w)
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
@@ -151,11 +154,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, limits: FitLimits) -> DataFrame:
-    """``text, toxic, fold``: the bounded labelled sample, one row a document."""
-    known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()) \
+def _known(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, toxic``: every labelled document that is not held out."""
+    return labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()) \
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")) \
         .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+def _sample(docs: DataFrame, known: DataFrame, limits: FitLimits) -> DataFrame:
+    """``text, toxic, fold``: the bounded labelled sample, one row a document."""
     pick = [known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
             for value, n in ((1, limits.toxic), (0, limits.ordinary))]
     ids = pick[0].unionByName(pick[1])
@@ -167,9 +174,12 @@ def _sample(docs: DataFrame, labels: DataFrame, limits: FitLimits) -> DataFrame:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, limits: FitLimits = FitLimits()) -> ToxicityModel:
     """Fits on labelled rows that are not held out. Three quarters of the
-    sample train the dictionaries, the rest calibrates. Where one class has no sample
-    the curve is flat at the share of toxic rows."""
-    sample = stored(_sample(docs, labels, limits), "toxicity-sample")
+    sample train the dictionaries, the rest calibrates, weighted to the shares that the
+    classes have among all labelled rows, so the bounds of the sample do not move the
+    score. Where one class has no sample the curve is flat at the share of toxic rows."""
+    known = stored(_known(docs, labels), "toxicity-known")
+    total = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sample = stored(_sample(docs, known, limits), "toxicity-sample")
     train = sample.where("fold > 0")
     n = {r.toxic: r.n for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_ordinary = n.get(1, 0), n.get(0, 0)
@@ -191,14 +201,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, limits: FitLimits = FitLimi
         base = zstandard.train_dictionary(limits.base_bytes, windows, k=64, d=6, level=3).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too little text to train on
         base, raw = b"".join(windows)[-limits.base_bytes:].rjust(64, b" "), True
-    models = [_calibrated(sample.where("fold = 0"), base, raw, segments, level, n_toxic, n_ordinary)
+    models = [_calibrated(sample.where("fold = 0"), base, raw, segments, level, total)
               for level in limits.evidence]
     return min(models, key=lambda m: m[0])[1]
 
 
 def _calibrated(sample: DataFrame, base: bytes, raw: bool, segments: dict, level: float,
-                n_toxic: int, n_ordinary: int) -> tuple[float, ToxicityModel]:
-    """(log loss, model) with the segments whose evidence reaches ``level``."""
+                total: dict[int, int]) -> tuple[float, ToxicityModel]:
+    """(log loss, model) with the segments whose evidence reaches ``level``. ``total``
+    counts all labelled rows of each class."""
     tails = {c: b"".join(p for g, p in reversed(s) if g >= level) for c, s in segments.items()}
     longest = max(map(len, tails.values()))
     # equal lengths keep the shared part at the same distance in both
@@ -211,15 +222,17 @@ def _calibrated(sample: DataFrame, base: bytes, raw: bool, segments: dict, level
     seen = sample.select("toxic", features("text").alias("x")).collect()
     y = np.array([r.toxic for r in seen], float)
     if len(set(y)) < 2:
-        share = n_toxic / (n_toxic + n_ordinary) if n_toxic + n_ordinary else 0.0
+        share = total.get(1, 0) / sum(total.values()) if total else 0.0
         share = min(max(share, 1e-6), 1 - 1e-6)
         k = 3 + len(_MARGINS)
         return 0.0, ToxicityModel(ordinary, toxic, raw, (0.0,) * k, (1.0,) * k, (0.0,) * k,
                                   float(np.log(share / (1 - share))))
     x = np.array([r.x for r in seen])
-    center, scale, weights, intercept = _logistic(x, y)
+    bad = total[1] / sum(total.values())
+    rows = np.where(y == 1, bad / y.mean(), (1 - bad) / (1 - y.mean()))  # mean 1
+    center, scale, weights, intercept = _logistic(x, y, rows=rows)
     margin = intercept + ((x - center) / scale) @ np.array(weights)
-    loss = float(np.mean(np.logaddexp(0, margin) - y * margin))
+    loss = float(np.mean(rows * (np.logaddexp(0, margin) - y * margin)))
     return loss, ToxicityModel(ordinary, toxic, raw, center, scale, weights, intercept)
 
 

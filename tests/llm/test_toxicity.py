@@ -103,3 +103,22 @@ def test_planted_words_of_the_test_table(spark):
         .join(known, "doc_id").toPandas()
     bad, fine = held[held.toxic == 1], held[held.toxic == 0]
     assert bad.predicted.mean() > 0.6 and fine.predicted.mean() < 0.05
+
+
+def test_score_keeps_the_share_of_all_labelled_rows(spark):
+    """The sample's limits draw the classes at 1:1; the mean score stays at the share of the table."""
+    rng = random.Random(4)
+    docs, labels = [], []
+    for i in range(1500):
+        toxic = int(i % 10 == 0)
+        w = ["".join(rng.choice(["an", "ti", "re", "shon", "le"]) for _ in range(rng.randint(1, 4))) for _ in range(30)]
+        if rng.random() < (0.7 if toxic else 0.15):
+            w.insert(5, rng.choice(BAD))
+        docs.append((i, " ".join(w)))
+        labels.append((i, toxic))
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(4).cache()
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    share = np.mean([r.score for r in score_documents(docs, fit_toxicity(docs, labels)).collect()])
+    small = np.mean([r.score for r in score_documents(
+        docs, fit_toxicity(docs, labels, FitLimits(toxic=100, ordinary=100))).collect()])
+    assert abs(share - 0.1) < 0.05 and abs(small - 0.1) < 0.05
