@@ -38,8 +38,8 @@ def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds ``token_ids``."""
-    return encode_texts(docs, VOCABULARY)
+    """Adds ``token_ids`` and ``decoded_sha256``, the digest of the text decoded from them."""
+    return encode_texts(docs, VOCABULARY, decoded=True)
 
 
 STAGES = [

@@ -173,7 +173,7 @@ def _slices(bodies, chars: int = 1 << 20):
         yield run
 
 
-def _encoded(vocab):
+def _encoded(vocab, decoded: bool):
     def run(batches):
         encoder = Encoder(vocab.value)
         for batch in batches:
@@ -183,9 +183,11 @@ def _encoded(vocab):
                 offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
                 lists = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()),
                                                       pa.array(np.concatenate(ids), pa.int64()))
+                back = [pa.array([hashlib.sha256(decode(x, vocab.value).encode("utf-8")).hexdigest() for x in ids],
+                                 pa.string())] if decoded else []
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.slice(at, len(ids)) for c in batch.columns[1:]), lists.cast(pa.list_(pa.int64()))],
-                    [*batch.schema.names[1:], "ids"])
+                    [*(c.slice(at, len(ids)) for c in batch.columns[1:]), lists.cast(pa.list_(pa.int64())), *back],
+                    [*batch.schema.names[1:], "ids", *["back"] * decoded])
                 at += len(ids)
 
     return run
@@ -219,18 +221,23 @@ def _decoded(vocab):
     return run
 
 
-def encode_texts(docs: DataFrame, vocabulary_path: str) -> DataFrame:
-    """All columns of ``docs`` and ``token_ids`` (array of long).
+def encode_texts(docs: DataFrame, vocabulary_path: str, decoded: bool = False) -> DataFrame:
+    """All columns of ``docs`` and ``token_ids`` (array of long); with ``decoded`` also
+    ``decoded_sha256``, the digest of the text that the ids give back.
 
     A null text counts as empty and has no ids; the text column itself stays as
     it is. Special tokens that stand in a text become their ids. A column named
     ``token_ids`` is replaced. An empty table gives no rows."""
     vocab = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary_path))
-    names = [c for c in docs.columns if c != "token_ids"]
+    added = {"ids": "token_ids"} | ({"back": "decoded_sha256"} if decoded else {})
+    names = [c for c in docs.columns if c not in added.values()]
     rows = docs.select(body().alias("_body"), *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)])
     schema = rows.drop("_body").withColumn("ids", F.array().cast("array<bigint>")).schema
-    out = rows.mapInArrow(_encoded(vocab), schema)
-    return out.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)], F.col("ids").alias("token_ids"))
+    if decoded:
+        schema = schema.add("back", "string")
+    out = rows.mapInArrow(_encoded(vocab, decoded), schema)
+    return out.select(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(names)],
+                      *[F.col(c).alias(name) for c, name in added.items()])
 
 
 def decode_ids(rows: DataFrame, vocabulary_path: str) -> DataFrame:

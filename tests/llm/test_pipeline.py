@@ -1,5 +1,7 @@
 """Every stage of the pipeline against a plain Python version of it."""
 
+import hashlib
+
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -78,3 +80,8 @@ def test_empty_and_odd_rows(spark, make_docs):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, SF)
         docs.collect()
+
+
+def test_ids_give_the_text_back(steps):
+    rows = steps[5].select("text", "decoded_sha256").collect()
+    assert rows and all(r.decoded_sha256 == hashlib.sha256((r.text or "").encode()).hexdigest() for r in rows)
