@@ -1,6 +1,6 @@
 """Removal of every byte covered by a repeated fixed-length string.
 
-Bucket-pointer refinement on the window starts ("suffixes") of all texts. The
+After bucket-pointer refinement, on the window starts ("suffixes") of all texts. The
 classical form keeps one bucket pointer per byte and sorts all suffixes. Here
 a suffix only takes part while its bucket still holds a second, different
 member, and bucket pointers are content digests, so no global rank table is
@@ -13,9 +13,10 @@ needed:
    85 bytes of text, and the pivot's q-gram is the node's bucket.
 2. *Refinement.* A bucket with one node is final: nothing in it repeats. Nodes
    of one bucket whose whole span is equal repeat entirely, and one of them
-   goes on for all. Buckets that hold different spans are refined by the bucket
-   of a later offset: the node is cut on a grid of offsets counted from its
-   pivot, and the piece common to all windows of a cell is the cell's bucket.
+   goes on for all. Buckets that hold different spans are refined by fresh
+   digests, not by the buckets of later offsets: the node is cut on a grid of
+   offsets counted from its pivot, and the digest of the piece common to all
+   windows of a cell is the cell's bucket.
 3. The same step is used again, on what the step before left open, with cells
    of one window, where bucket and span coincide.
 
