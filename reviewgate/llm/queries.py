@@ -9,6 +9,7 @@ from .bpe import token_digests
 from .common import table
 from .decontaminate import benchmark_hits
 from .fingerprint import edited_fingerprints
+from .hard_negatives import mine_hard_negatives
 from .sharding import shard_documents
 from .simhash_dedup import simhash_groups
 from .substring_dedup import substring_dedup
@@ -64,6 +65,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(derived_captures(pages), derived_events(pages))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_url_filter": op2_url_filter,
@@ -75,6 +80,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 # Words are runs of ASCII letters, digits and non-ASCII characters.
@@ -126,4 +132,25 @@ p AS (SELECT d.doc_id, b.item_id, count(*) AS shared_shingles FROM d JOIN b USIN
 SELECT doc_id, item_id, item_shingles, shared_shingles,
        CAST(shared_shingles AS DOUBLE) / item_shingles AS containment
 FROM p JOIN n USING (item_id) WHERE shared_shingles >= ceil(round(0.8 * item_shingles, 9))""",
+    "op12_hard_negatives": """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS positive_id, list_dot_product(a.v, b.v)::BIGINT AS positive_score
+  FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE a.vec_id % 100 = 0
+  QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY positive_score DESC, b.vec_id) <= 5),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS negative_id, list_dot_product(a.v, b.v)::BIGINT AS negative_score
+  FROM e a JOIN e b ON a.label <> b.label WHERE a.vec_id % 100 = 0)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank,
+       negative_id, positive_score, negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE 30 * positive_score <= 100 * negative_score AND 100 * negative_score <= 90 * positive_score
+QUALIFY rank <= 10""",
 }
