@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import token_digests
 from .common import table
+from .conversation_trie import conversation_trie
 from .decontaminate import benchmark_hits
 from .fingerprint import edited_fingerprints
 from .hard_negatives import mine_hard_negatives
@@ -69,6 +70,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_url_filter": op2_url_filter,
@@ -81,6 +86,7 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 # Words are runs of ASCII letters, digits and non-ASCII characters.
@@ -153,4 +159,43 @@ SELECT anchor_id, positive_id,
 FROM p JOIN s USING (anchor_id)
 WHERE 30 * positive_score <= 100 * negative_score AND 100 * negative_score <= 90 * positive_score
 QUALIFY rank <= 10""",
+    # CRC-32 by its table: eight shifts for each byte, then one look-up a digit
+    "op13_conversation_trie": r"""
+WITH steps AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+              lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+turns AS (
+  SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT c, list(struct_pack(role := role, text := text)
+                 ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS path
+  FROM turns GROUP BY c),
+convs AS (
+  SELECT c, path, c - c % 20 AS base, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295::BIGINT) % 4 AS h
+  FROM own, steps),
+paths AS (
+  SELECT a.c, list_concat(coalesce(b.path[1:h], []), a.path[h + 1:]) AS path
+  FROM convs a LEFT JOIN own b ON b.c = a.base),
+steps_of AS (SELECT c, path, len(path) AS n_turns, unnest(range(len(path) + 1)) AS d FROM paths),
+keyed AS (
+  SELECT c, d, n_turns, CASE WHEN d > 0 THEN sha256(path[1:d]::JSON::VARCHAR) ELSE '' END AS k,
+         CASE WHEN d > 1 THEN sha256(path[1:d - 1]::JSON::VARCHAR) ELSE '' END AS up,
+         CASE WHEN d > 0 THEN len(regexp_extract_all(path[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words
+  FROM steps_of),
+nodes AS (
+  SELECT d, k, any_value(up) AS up, min(c) AS conv_id, count(*) AS n, any_value(words) AS words,
+         sha256(coalesce(string_agg(CASE WHEN d = n_turns THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends
+  FROM keyed GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+sums AS (
+  SELECT a.d, a.k, count(*) FILTER (WHERE kids.k IS NULL) AS n_leaves, sum((n.n - 1) * n.words) AS saved
+  FROM nodes n LEFT JOIN kids USING (d, k) JOIN keyed a ON a.c = n.conv_id AND a.d <= n.d GROUP BY a.d, a.k)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved::BIGINT AS saved_tokens, n.ends AS ends_sha256
+FROM nodes n JOIN sums s USING (d, k) LEFT JOIN kids USING (d, k)
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = n.up""",
 }
