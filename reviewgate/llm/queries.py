@@ -11,6 +11,7 @@ from .conversation_trie import conversation_trie
 from .decontaminate import benchmark_hits
 from .fingerprint import edited_fingerprints
 from .hard_negatives import mine_hard_negatives
+from .html_extraction import extract_pages
 from .sharding import shard_documents
 from .simhash_dedup import simhash_groups
 from .substring_dedup import substring_dedup
@@ -66,6 +67,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(derived_captures(pages), derived_events(pages))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +90,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op8_substring_dedup": op8_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_html_extraction": op11_html_extraction,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_conversation_trie": op13_conversation_trie,
 }
