@@ -173,10 +173,24 @@ def _split_sql(src: str) -> str:
 @register("temporal_split", ORD + _split_sql("oc")
           + " SELECT complaint_id, label, date_received, rank, split FROM splits")
 def q_split(spark, sf_dir):
-    return prepare.temporal_split(fx.orders_cls(spark, sf_dir)).select(
+    return prepare.temporal_split(fx.orders_cls(spark, sf_dir), with_rank=True).select(
         "complaint_id", "label", "date_received", "rank", "split")
 
 
+@register("temporal_split_texts", NAR + _split_sql("nar") + """ SELECT complaint_id, label, date_received, split,
+    sha256(text) AS text_sha256 FROM splits""")
+def q_split_texts(spark, sf_dir):
+    return prepare.temporal_split(_nar(spark, sf_dir)).select(
+        "complaint_id", "label", "date_received", "split", F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
+@register("sample_evenly_texts", NAR + _sample_sql("nar", 40)
+          + " SELECT complaint_id, label, r0 + 1 AS rank, sha256(text) AS text_sha256 FROM smp")
+def q_sample_texts(spark, sf_dir):
+    return prepare.sample_evenly(_nar(spark, sf_dir), 40).select(
+        "complaint_id", "label", "rank", F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
 @register("split_counts_check", ORD + """, g AS (SELECT label, count(*) AS n FROM oc GROUP BY 1),
     b AS (SELECT *, greatest(1, floor(n * 0.7::DOUBLE)) AS te0, greatest(1, floor(n * 0.15::DOUBLE)) AS cs FROM g),
     b2 AS (SELECT *, CASE WHEN te0 + cs >= n THEN n - 1 ELSE te0 + cs END AS ce,
