@@ -12,12 +12,15 @@ that the dictionaries have not seen turns that into a calibrated probability.
 Those texts also decide how much evidence a segment needs.
 
 Dictionaries and curve are fitted on a bounded sample of labelled rows
-(``FitLimits``); scoring reads all of every text.
+(``FitLimits``), segments and curve on their whole texts; the common segments come from
+a fixed number of windows of every sampled text, chosen by checksum anywhere in it.
+Scoring reads all of every text.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -43,11 +46,10 @@ class FitLimits:
     """Bounds of the labelled sample that is fitted on, by hash of the doc_id."""
     toxic: int = 1500
     ordinary: int = 4500
-    chars: int = 20_000
-    windows: int = 30_000
+    windows: int = 4          # of each ordinary text, by hash, that train the common segments
     segments: int = 1_000
     base_bytes: int = 6_144
-    evidence: tuple[float, ...] = (20.0, 35.0, 60.0)
+    evidence: tuple[float, ...] = (20.0, 35.0, 60.0, 90.0)
 
 
 @dataclass(frozen=True)
@@ -89,6 +91,16 @@ def window_features(texts, ordinary: bytes, toxic: bytes, raw: bool) -> np.ndarr
     return out
 
 
+def _chosen_windows(n: int):
+    """The ``n`` windows with the smallest checksums, of every text."""
+    def run(batches):
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                chosen = sorted(set(text_windows(text)), key=lambda w: (zlib.crc32(w), w))[:n]
+                yield pa.RecordBatch.from_arrays([pa.array(chosen, pa.binary())], ["w"])
+    return run
+
+
 def _pieces(batches):
     """Word pieces with the number of toxic and ordinary texts that hold them."""
     counts = {0: Counter(), 1: Counter()}
@@ -166,7 +178,7 @@ def _sample(docs: DataFrame, known: DataFrame, limits: FitLimits) -> DataFrame:
     pick = [known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
             for value, n in ((1, limits.toxic), (0, limits.ordinary))]
     ids = pick[0].unionByName(pick[1])
-    return docs.select("doc_id", F.substring("text", 1, limits.chars).alias("text")) \
+    return docs.select("doc_id", "text") \
         .join(F.broadcast(ids), "doc_id") \
         .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")) \
         .select("text", "toxic", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(4)).alias("fold"))
@@ -191,11 +203,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, limits: FitLimits = FitLimi
                         .where("toxic >= 4 OR ordinary >= 4"), "toxicity-pieces")
         segments = {"toxic": _strongest(pieces, "toxic", "ordinary", n_toxic, n_ordinary, limits),
                     "ordinary": _strongest(pieces, "ordinary", "toxic", n_ordinary, n_toxic, limits)}
-    windows: list[bytes] = []
-    for r in train.where("toxic = 0").select("text").toLocalIterator():
-        windows += text_windows(r.text)
-        if len(windows) >= limits.windows:
-            break
+    windows = sorted(bytes(r.w) for r in train.where("toxic = 0").select("text").mapInArrow(  # limits.windows a text
+        _chosen_windows(limits.windows), "w binary").collect())
     raw = False
     try:
         base = zstandard.train_dictionary(limits.base_bytes, windows, k=64, d=6, level=3).as_bytes()

@@ -1,8 +1,10 @@
+import math
 import random
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from reviewgate.llm.toxicity import (FitLimits, _logistic, drop_toxic, fit_toxicity, held_out,
@@ -122,3 +124,41 @@ def test_score_keeps_the_share_of_all_labelled_rows(spark):
     small = np.mean([r.score for r in score_documents(
         docs, fit_toxicity(docs, labels, FitLimits(toxic=100, ordinary=100))).collect()])
     assert abs(share - 0.1) < 0.05 and abs(small - 0.1) < 0.05
+
+
+def test_score_recomputed_in_plain_python(spark, make_docs, fitted):
+    """Dictionaries, windows and curve, one text at a time, without the library's code."""
+    _, _, model = fitted
+    texts = ["an ti re shon", "pathetic worthless scumbag " * 200, "é lowlife " + "an ti " * 300, ""]
+    got = {r.doc_id: r.score for r in score_documents(make_docs(list(enumerate(texts))), model).collect()}
+    kind = zstandard.DICT_TYPE_RAWCONTENT if model.raw else zstandard.DICT_TYPE_AUTO
+
+    def length(window, dictionary):
+        params = zstandard.ZstdCompressionParameters(
+            compression_level=3, window_log=15, hash_log=13, chain_log=13, search_log=5, min_match=4, target_length=16,
+            strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
+        return len(zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary, dict_type=kind),
+                                            compression_params=params).compress(window))
+
+    for i, text in enumerate(texts):
+        data = text.lower().encode()
+        gains = [length(data[k:k + 332], model.ordinary) - length(data[k:k + 332], model.toxic)
+                 for k in range(0, len(data), 320)]
+        x = [0.0] * 7 if not gains else [
+            sum(gains) / len(gains), max(gains), math.log(1 + len(gains)),
+            *(sum(g >= m for g in gains) / len(gains) for m in (1, 2, 4, 6))]
+        margin = model.intercept + sum((a - c) / s * w for a, c, s, w in zip(x, model.center, model.scale, model.weights))
+        assert abs(got[i] - 1 / (1 + math.exp(-margin))) < 1e-6
+
+
+def test_the_end_of_a_long_text_is_learned_from(spark):
+    """The toxic words of every toxic text stand after 25,000 characters."""
+    rows, labels = corpus(80)
+    rows = [(i, "an ti re shon le " * 1500 + t) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    table = spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = fit_toxicity(docs, table)
+    out = {r.doc_id: r.predicted for r in score_documents(docs, model).collect()}
+    assert np.mean([out[i] == y for i, y in labels]) > 0.9
+    again = fit_toxicity(docs.repartition(2), table)
+    assert (again.ordinary, again.toxic) == (model.ordinary, model.toxic)
