@@ -229,8 +229,10 @@ def _grouped(docs: DataFrame, shingle_words: int, max_bits: int) -> tuple[DataFr
     member = connected_components(links, "a", "b")
     by_fp = distinct.join(member.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("component", F.coalesce("component", "fp"))
-    keeper = by_fp.groupBy("component").agg(F.min("first").alias("keeper"))
-    # stored, so that a fingerprint with very many documents is a splittable join key
+    # both sides stored: a component with very many fingerprints is a splittable join key
+    by_fp = stored(by_fp.select("fp", "first", "component"), "simhash-members")
+    keeper = stored(by_fp.groupBy("component").agg(F.min("first").alias("keeper")), "simhash-keepers")
+    # and so is a fingerprint with very many documents
     return marked, stored(by_fp.join(keeper, "component").select("fp", "keeper"), "simhash-components")
 
 
@@ -256,10 +258,9 @@ def drop_near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     smallest doc_id (rows without id last; rows that share the id by the hash
     of the text). Of rows that repeat that document exactly one stays."""
     _, named = _grouped(docs, shingle_words, max_bits)
-    keepers = named.select("keeper.key_id", "keeper.key_hash").distinct() \
-        .select(F.col("key_id").alias("_keep_id"), F.col("key_hash").alias("_keep_hash"))
-    key_id, key_hash = doc_key()
+    keepers = named.select("keeper.key_id", "keeper.key_hash").distinct()
+    # columns by position: the caller's names are not touched
+    rows = docs.select(*doc_key(), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
     # the join leaves the rows dealt and sorted by the key that the last step needs
-    return docs.withColumns({"_keep_id": key_id, "_keep_hash": key_hash}) \
-        .join(keepers, ["_keep_id", "_keep_hash"], "left_semi") \
-        .dropDuplicates(["_keep_id", "_keep_hash"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return rows.join(keepers, ["key_id", "key_hash"], "left_semi").dropDuplicates(["key_id", "key_hash"]) \
+        .select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
