@@ -28,8 +28,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines and passages stay only where they come first."""
-    return drop_repeated_units(docs, min_words=5)
+    """Lines and passages stay only where they come first, word for word."""
+    return drop_repeated_units(docs, min_words=5, extend=True)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
