@@ -211,14 +211,14 @@ def poisson_bootstrap_macro_f1(df: DataFrame, n_resamples: int = config.BOOTSTRA
 
 def risk_coverage_curve(scored: DataFrame, id_col: str = "id") -> DataFrame:
     """For m = n..1: coverage m/n, risk of the m most confident rows, and the
-    m-th confidence (G6). Ties on confidence are ordered by id."""
-    # Rows without a confidence rank in their own group and are dropped after
-    # ranking (a filter here would be pushed into the scoring expressions).
+    m-th confidence (G6). Ties on confidence are ordered by id. Rows whose confidence is
+    null or NaN rank last: they count in n and give no point."""
+    # dropped after ranking: a filter here would be pushed into the scoring expressions
     base = scored.select(F.col(id_col).alias("id"), "confidence",
                          F.col("correct").cast("long").alias("ok"),
-                         F.col("confidence").isNull().alias("_no_conf"))
-    ranked = ordered_positions(base, [F.col("confidence").desc(), F.col("id")],
-                               ["_no_conf"], sums=["ok"]).where(~F.col("_no_conf"))
+                         (F.col("confidence").isNull() | F.isnan("confidence")).alias("_no_conf"))
+    ranked = ordered_positions(base, [F.col("_no_conf"), F.col("confidence").desc(), F.col("id")],
+                               sums=["ok"]).where(~F.col("_no_conf"))
     return ranked.select(
         F.col("rank").alias("accepted_count"),
         (F.col("rank") / F.col("group_count")).alias("coverage"),

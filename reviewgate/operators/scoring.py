@@ -9,6 +9,7 @@ deep-learning runtime is assumed.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 
 import numpy as np
@@ -22,20 +23,27 @@ ScorerFactory = Callable[[], Callable[[np.ndarray], np.ndarray]]
 
 def score_batch(df: DataFrame, factory: ScorerFactory, input_col: str,
                 output_col: str = "logits") -> DataFrame:
-    """Adds ``output_col`` ARRAY<DOUBLE> of logits via mapInPandas."""
+    """Adds ``output_col`` ARRAY<DOUBLE> of logits via mapInPandas.
+
+    A null vector, one that holds a null or NaN, and one whose length is not the factory's
+    ``n_inputs`` (if it has one) get null logits, which routing sends to review; without
+    ``n_inputs`` the vectors of each length go to the scorer together."""
     schema = StructType(list(df.schema.fields) +
                         [StructField(output_col, ArrayType(DoubleType()))])
 
     def run(batches):
-        scorer = factory()
+        scorer, wanted = factory(), getattr(factory, "n_inputs", None)
         for b in batches:
-            if len(b) == 0:
-                b[output_col] = pd.Series([], dtype=object)
-                yield b
-                continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in b[input_col]])
-            logits = np.asarray(scorer(x), dtype=np.float64)
-            b[output_col] = list(logits)
+            logits = [None] * len(b)
+            rows = defaultdict(list)
+            for i, v in enumerate(b[input_col]):
+                if v is not None and wanted in (None, len(v)) and not np.isnan(np.asarray(v, np.float64)).any():
+                    rows[len(v)].append(i)
+            for at in rows.values():
+                x = np.stack([np.asarray(b[input_col].iloc[i], dtype=np.float64) for i in at])
+                for i, z in zip(at, np.asarray(scorer(x), dtype=np.float64)):
+                    logits[i] = z
+            b[output_col] = pd.Series(logits, index=b.index, dtype=object)
             yield b
 
     return df.mapInPandas(run, schema)
@@ -63,4 +71,5 @@ def centroid_scorer(centroids: DataFrame, classes, scale: float = 20.0) -> Score
     def factory():
         m = mat.T * scale
         return lambda x: x @ m
+    factory.n_inputs = dim
     return factory

@@ -57,3 +57,11 @@ def test_risk_falls_as_unsure_rows_are_left_out(spark):
     curve = metrics.risk_coverage_curve(spark.createDataFrame(rows, "id STRING, confidence DOUBLE, correct BOOLEAN"))
     got = {round(r.coverage * 5): r.risk for r in curve.collect()}
     assert got == {k: pytest.approx(1 - sum(answers[:k]) / k) for k in range(1, 6)}
+
+
+def test_rows_without_a_confidence_rank_last(spark):
+    nan = float("nan")
+    rows = [("a", 0.9, True), ("b", nan, False), ("c", 0.5, False), ("d", None, True)]
+    curve = metrics.risk_coverage_curve(spark.createDataFrame(rows, "id STRING, confidence DOUBLE, correct BOOLEAN"))
+    got = sorted((r.accepted_count, r.coverage, r.risk, r.threshold) for r in curve.collect())
+    assert got == [(1, 0.25, 0.0, 0.9), (2, 0.5, 0.5, 0.5)]

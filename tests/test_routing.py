@@ -100,3 +100,63 @@ def test_presented_rows_keep_the_named_id(spark):
     routed = policy.route(policy.with_scores(df, label_col=None),
                           policy.policy_frame(spark, 0.1, True), LABELS)
     assert policy.present_routes(routed, id_col="doc_id").first().doc_id == 7
+
+
+def test_payloads_that_only_look_valid(spark):
+    """JSON decides, not patterns: trailing text, repeated keys, nesting, strings, NaN tokens."""
+    t, p = "temperature", "review_policy"
+    cases = [
+        (p, '{"threshold": 0.8, "target_met": true}x}', [validate.MSG_OBJECT]),
+        (p, '{"threshold": 0.8, "target_met": true}], [1', [validate.MSG_OBJECT]),
+        (p, '{"threshold": 0.8, "target_met": true} {}', [validate.MSG_OBJECT]),
+        (t, '{"temperature": 1.5, "temperature": true}', [validate.MSG_TEMP_NUMERIC]),
+        (t, '{"temperature": true, "temperature": 1.5}', []),
+        (t, '{"inner": {"temperature": 1.5}}', [validate.MSG_TEMP_NUMERIC]),
+        (t, '{"note": "\\"temperature\\": 2", "temperature": "2"}', [validate.MSG_TEMP_NUMERIC]),
+        (t, '{"note": "NaN, or -Infinity", "temperature": 2}', []),
+        (t, '{"temperature": Infinity}', [validate.MSG_TEMP_RANGE]),
+        (t, '{"temperature": -Infinity}', [validate.MSG_TEMP_RANGE]),
+        (t, '{"temperature": null}', [validate.MSG_TEMP_NUMERIC]),
+        (t, '{"temperature": 10}', []), (t, '{"temperature": 10.000001}', [validate.MSG_TEMP_RANGE]),
+        (t, '{"temperature": 01}', [validate.MSG_OBJECT]), (t, '{"temperature": 1.5,}', [validate.MSG_OBJECT]),
+        (t, '{"temperature: 1.5}', [validate.MSG_OBJECT]), (t, "", [validate.MSG_OBJECT]), (t, None, [validate.MSG_OBJECT]),
+        (p, '{"target_met": true}', [validate.MSG_THRESHOLD_NUMERIC]),
+        (p, '{"threshold": 1e0, "target_met": 1}', [validate.MSG_FLAG]),
+        (p, '{"threshold": "0.5"}', [validate.MSG_THRESHOLD_NUMERIC, validate.MSG_FLAG]),
+        ("other", '{"threshold": 0.5}', [validate.MSG_KIND])]
+    rows = [(i, kind, payload) for i, (kind, payload, _) in enumerate(cases)]
+    df = spark.createDataFrame(rows, "i INT, kind STRING, payload STRING")
+    got = {r.i: r.violations for r in validate.validate_policies(df).collect()}
+    assert got == {i: want for i, (_, _, want) in enumerate(cases)}
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") == "false"
+    values = {r.i: (r.temperature, r.target_met) for r in validate.policy_values(df).collect()}
+    assert values[4] == (1.5, None) and values[19][1] is None and values[0] == (None, None)
+
+
+def test_label_map_branches(spark):
+    rows = [("tab", "0", "a\t"), ("tab", "1", "a"), ("tab", "2", "b"),
+            ("nbsp", "0", "\u00a0"), ("nbsp", "1", "a"), ("nbsp", "2", "b"),
+            ("null", "0", None), ("null", "1", "a"), ("null", "2", "b"),
+            ("word", "x", "a"), ("word", "1", "b"), ("word", "2", "c"),
+            ("twice", "0", "a"), ("twice", "00", "b"), ("twice", "2", "c"),
+            ("two", "0", "a"), ("two", "1", "b")]
+    got = {r.model: r.violations for r in validate.validate_label_map(
+        spark.createDataFrame(rows, "model STRING, key STRING, label STRING")).collect()}
+    assert got == {"tab": [validate.MSG_UNIQUE], "nbsp": [validate.MSG_BLANK], "null": [validate.MSG_BLANK],
+                   "word": [validate.MSG_KEYS], "twice": [validate.MSG_CONTIGUOUS], "two": [validate.MSG_CLASSES]}
+
+
+def test_vectors_that_cannot_be_scored_go_to_review(spark):
+    from reviewgate.operators import scoring
+    rows = [("a", [1.0, 0.0]), ("b", None), ("c", [1.0]), ("d", [None, 1.0]), ("e", [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id STRING, v ARRAY<DOUBLE>")
+    centres = spark.createDataFrame([(k, j, float(k == j)) for k in range(3) for j in range(2)],
+                                    "label INT, pos INT, mean DOUBLE")
+    scored = scoring.score_batch(df, scoring.centroid_scorer(centres, [0, 1, 2]), "v")
+    got = {r.id: r.logits for r in scored.collect()}
+    assert got == {"a": [20.0, 0.0, 0.0], "b": None, "c": None, "d": None, "e": [0.0, 20.0, 0.0]}
+    routed = policy.route(policy.with_scores(scored, label_col=None), policy.policy_frame(spark, 0.5, True), LABELS)
+    assert {r.id for r in routed.collect() if r.recommended_action == config.REVIEW_ACTION} == {"b", "c", "d"}
+    free = scoring.score_batch(df, lambda: lambda x: x[:, :1], "v")  # a scorer that takes any length
+    assert {r.id: r.logits for r in free.collect()} == {"a": [1.0], "b": None, "c": [1.0], "d": None, "e": [0.0]}
+    assert scoring.score_batch(df.limit(0), lambda: lambda x: x, "v").collect() == []

@@ -35,3 +35,22 @@ def test_input_validation(spark):
     out = df.collect()
     assert out[0]["c"] == "A fictional complaint with enough detail."
     assert [r["s"] for r in out] == ["ok", "too_short", "not_text", "too_long"]
+
+
+def test_character_windows_against_plain_python(spark):
+    """Every window of every padded word, by code points: emoji, U+0000, one-letter words."""
+    from reviewgate.operators.features import char_wb_terms
+    texts = ["a\U0001F600bc d", "ab\x00cd", "x", "", "  two\twords ", "\U0001F600 \U0001F601\U0001F602", "\x00", "é è",
+             "\U00010400\U00010401\U00010402\U00010403\U00010404\U00010405 q"]
+
+    def windows(text):
+        out = []
+        for word in text.lower().split():
+            padded = f" {word} "
+            for n in range(3, 6):
+                out += [padded[i:i + n] for i in range(len(padded) - n + 1)]
+        return sorted(out)
+
+    df = spark.createDataFrame([(t,) for t in texts], "text STRING")
+    got = df.select("text", char_wb_terms(F.col("text")).alias("t")).collect()
+    assert {r.text: sorted(r.t) for r in got} == {t: windows(t) for t in texts}
