@@ -46,6 +46,7 @@ REASON_FAILS_CLOSED = (
     "The frozen calibration policy did not meet its target, so this item fails closed."
 )
 REASON_BAD_SCORES = "The scores are missing, incomplete or not finite, so this item fails closed."
+REASON_BAD_MODEL = "The model's artifacts are missing or invalid, so this item fails closed."
 REASON_BELOW = "The calibrated confidence is below the frozen review threshold."
 ROUTE_HEADLINE_REVIEW = "HUMAN REVIEW REQUIRED"
 ROUTE_HEADLINE_ROUTE = "MODEL-ASSISTED ROUTE CANDIDATE"

@@ -78,7 +78,7 @@ def select_threshold(curve: DataFrame, target_accuracy: float = config.TARGET_AC
     When none qualifies the policy fails closed: threshold 1.0, nothing
     accepted, null accuracy, target_met false. One row out (per group)."""
     if not 0 <= target_accuracy <= 1 or not 0 <= min_coverage <= 1:
-        raise ValueError("invalid selective-prediction inputs")
+        raise ValueError(f"target accuracy {target_accuracy} and coverage {min_coverage} are shares from 0 to 1")
     g = list(group_cols)
     required = F.ceil(F.lit(float(min_coverage)) * F.col("total_count"))
     qualifies = ((F.col("accepted_count") >= required) & (F.col("accepted_count") > 0)
@@ -149,11 +149,21 @@ def apply_policy(scored: DataFrame, policy: DataFrame, confidence_level: float =
     )
 
 
+#: Columns of the input that a routing decision carries: names and outcomes, no content.
+CARRIED = ("id", "doc_id", "model", "split", "label_id", "pred_id", "pred_b", "confidence", "correct",
+           "input_status")
+
+
+def _carried(df: DataFrame, keep) -> list[str]:
+    return [c for c in df.columns if c in CARRIED or c in tuple(keep)]
+
+
 def route(scored: DataFrame, policy: DataFrame, labels, k: int = config.TOP_K,
-          route_action: str = config.ROUTE_ACTION) -> DataFrame:
+          route_action: str = config.ROUTE_ACTION, keep: list[str] = ()) -> DataFrame:
     """Per-row routing decision (B13). The policy row is broadcast; a missing
     policy, an unmet target, and scores that are missing, not finite or not one
-    for each label all end in human review. Carries no text column."""
+    for each label all end in human review. Of the input it carries the columns
+    ``CARRIED`` and those named in ``keep``, so no text leaves by another name."""
     j = scored.crossJoin(F.broadcast(_one_policy(policy).withColumnRenamed("_t", "review_threshold")))
     met = F.coalesce(F.col("_met"), F.lit(False))
     usable = F.coalesce(~F.isnan("confidence") & F.col("confidence").between(0.0, 1.0)
@@ -165,7 +175,7 @@ def route(scored: DataFrame, policy: DataFrame, labels, k: int = config.TOP_K,
               .when(~met, F.lit(config.REASON_FAILS_CLOSED))
               .otherwise(F.lit(config.REASON_BELOW)))
     return j.select(
-        *[c for c in scored.columns if c not in ("probs", "logits", "text")],
+        *_carried(scored, keep),
         decode_label(F.col("pred_id"), labels).alias("predicted_label"),
         action.alias("recommended_action"),
         reason.alias("review_reason"),
@@ -174,6 +184,45 @@ def route(scored: DataFrame, policy: DataFrame, labels, k: int = config.TOP_K,
     )
 
 
+def route_models(rows: DataFrame, registry: DataFrame, k: int = config.TOP_K,
+                 route_action: str = config.ROUTE_ACTION, keep: list[str] = ()) -> DataFrame:
+    """Routing of rows of many models, each by its own temperature, policy and labels.
+
+    ``rows``: ``model, logits`` and what is carried; ``registry``: see
+    ``sources.model_registry``. The join fails closed: every row comes out, and a row
+    whose model is unknown or not usable, or whose scores are missing, not finite or not
+    one for each label, has no prediction and goes to human review. Rows of one model may
+    be any share of the table: the registry is the small side, one row a model."""
+    names = {"usable": "_usable", "temperature": "_t", "threshold": "review_threshold", "target_met": "_met",
+             "labels": "_labels"}
+    side = registry.select(F.col("model").alias("_model"), *[F.col(a).alias(b) for a, b in names.items()])
+    j = rows.join(side, F.col("model") == F.col("_model"), "left")
+    usable = F.coalesce(F.col("_usable"), F.lit(False))
+    shaped = usable & F.coalesce(F.size("logits") == F.size("_labels"), F.lit(False))
+    j = j.withColumn("_e", F.when(shaped, scores.exp_shifted(scores.scale(F.col("logits"), F.col("_t")))))
+    j = j.withColumn("_p", scores.normalise(F.col("_e")))
+    j = j.withColumns({"_c": scores.confidence(F.col("_p")), "_i": scores.arg_max(F.col("_p"))})
+    sound = shaped & F.coalesce(~F.isnan("_c") & F.col("_c").between(0.0, 1.0)
+                                & ~F.exists("_p", lambda x: x.isNull() | F.isnan(x)), F.lit(False))
+    met = usable & F.coalesce(F.col("_met"), F.lit(False))
+    meets = met & sound & F.coalesce(F.col("_c") >= F.col("review_threshold"), F.lit(False))
+    reason = (F.when(meets, F.lit(config.REASON_MEETS))
+              .when(~usable, F.lit(config.REASON_BAD_MODEL))
+              .when(~met, F.lit(config.REASON_FAILS_CLOSED))
+              .when(~sound, F.lit(config.REASON_BAD_SCORES))
+              .otherwise(F.lit(config.REASON_BELOW)))
+    kept = [c for c in _carried(rows, keep) if c not in ("confidence", "pred_id")]
+    top = scores.top_k(F.col("_p"), k)
+    return j.select(
+        *kept, F.when(sound, F.col("_c")).alias("confidence"), F.when(sound, F.col("_i")).alias("pred_id"),
+        F.when(sound, F.get(F.col("_labels"), F.col("_i"))).alias("predicted_label"),
+        F.when(meets, F.lit(route_action)).otherwise(F.lit(config.REVIEW_ACTION)).alias("recommended_action"),
+        reason.alias("review_reason"), F.when(usable, F.col("review_threshold")).alias("review_threshold"),
+        F.when(sound, F.transform(top, lambda x: F.struct(
+            x["class_id"].alias("class_id"), F.get(F.col("_labels"), x["class_id"]).alias("label"),
+            x["probability"].alias("probability")))).alias("top_predictions"))
+
+
 def present_routes(routed: DataFrame, id_col: str = "id") -> DataFrame:
     """Display strings of a routed row (B14): percentages with one decimal,
     route headline and detail. ``id_col`` names the row (``doc_id`` for texts)."""

@@ -11,6 +11,7 @@ from ..operators import policy
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources import io, validate
+from ..sources.model_registry import MSG_OUTPUTS, MSG_OWN_LABELS, model_registry
 from ..streaming import route_stream as rs
 from . import sql_fixtures as sq
 from .checks_prepare import NAR, PREPARED_SQL, prepared
@@ -122,6 +123,11 @@ def q_validate_policies(spark, sf_dir):
                                   F.size("violations").alias("violation_count")))
 
 
+def _MODEL_POLICY_SQL() -> str:
+    from .registry import _POLICY_CTE
+    return _POLICY_CTE.lstrip().removeprefix("WITH")
+
+
 def _label_maps(spark, sf_dir):
     """(model, key, label) label maps derived from categorical columns of the tables."""
     from pyspark.sql import Window
@@ -187,6 +193,97 @@ def q_route_stream(spark, sf_dir):
 SQL["route_stream"] = SQL["route_reviews"]
 
 
+#: Models of the gated routing check, by the first hex digit of the row id.
+_MODEL_OF = {"good": "0-5", "broken": "6-8", "relabelled": "9-a", "unmapped": "b-c", "absent": "d-f"}
+
+
+def _model_rows(spark, sf_dir):
+    """Test lines dealt to five models, and the artifacts of four of them. ``good`` has the fitted
+    policy; ``broken`` seven times its threshold (out of range); ``relabelled`` another label
+    list of its own; ``unmapped`` one label too few; ``absent`` nothing at all."""
+    lines = fx.scored_lines(spark, sf_dir)
+    chosen = policy.select_confidence_threshold(_cal(_scored(spark, sf_dir)))
+    digit, model = F.substring("id", 1, 1), None
+    for name, digits in _MODEL_OF.items():
+        hit = digit.rlike(f"[{digits}]")
+        model = F.when(hit, name) if model is None else model.when(hit, name)
+    named = [m for m in _MODEL_OF if m != "absent"]
+    each = chosen.crossJoin(spark.createDataFrame([(m,) for m in named], "model STRING"))  # one row each
+    times = F.when(F.col("model") == "broken", 7.0).otherwise(1.0)
+    artifacts = each.select("model", F.lit("review_policy").alias("kind"), F.to_json(F.struct(
+        (F.col("threshold") * times).alias("threshold"), "target_met")).alias("payload")).unionByName(
+        each.select("model", F.lit("temperature").alias("kind"), F.lit(f'{{"temperature": {float(T)}}}').alias("payload")))
+    maps = [(m, str(i), f" {x} ") for m in named for i, x in enumerate(fx.RETURN_FLAG_NAMES) if (m, i) != ("unmapped", 2)]
+    own = [(m, list(fx.RETURN_FLAG_NAMES if m != "relabelled" else reversed(fx.RETURN_FLAG_NAMES))) for m in named]
+    registry = model_registry(artifacts, spark.createDataFrame(maps, "model STRING, key STRING, label STRING"),
+                              spark.createDataFrame(own, "model STRING, own_labels ARRAY<STRING>"))
+    return _test(lines).withColumn("model", model), registry
+
+
+def _routed_models_sql() -> str:
+    from .registry import _ROUTE_SQL
+    model = "CASE " + " ".join(f"WHEN regexp_matches(substr(id, 1, 1), '[{d}]') THEN '{m}'" for m, d in _MODEL_OF.items()) + " END"
+    good = "model = 'good'"
+    return _ROUTE_SQL + f""", rm AS (SELECT *, {model} AS model FROM routed)
+  SELECT id, model, label_id, split, pred_b, CASE WHEN {good} THEN predicted_label END AS predicted_label,
+    {r(f"CASE WHEN {good} THEN confidence END", "confidence")},
+    CASE WHEN {good} AND meets THEN '{config.ROUTE_ACTION}' ELSE '{config.REVIEW_ACTION}' END AS recommended_action,
+    CASE WHEN NOT ({good}) THEN 'bad model' WHEN meets THEN 'meets' WHEN NOT met THEN 'closed' ELSE 'below' END AS reason
+  FROM rm"""
+
+
+def _model_routes(routed):
+    reason = F.col("review_reason")
+    named = {config.REASON_BAD_MODEL: "bad model", config.REASON_MEETS: "meets", config.REASON_FAILS_CLOSED: "closed",
+             config.REASON_BELOW: "below"}
+    short = None
+    for text, name in named.items():
+        short = F.when(reason == text, name) if short is None else short.when(reason == text, name)
+    return rounded(routed.select("id", "model", "label_id", "split", "pred_b", "predicted_label", "confidence",
+                                 "recommended_action", short.alias("reason")))
+
+
+@register("route_models", _routed_models_sql())
+def q_route_models(spark, sf_dir):
+    rows, registry = _model_rows(spark, sf_dir)
+    return _model_routes(_quantised(policy.route_models(rows, _loose(registry))))
+
+
+@register("route_models_stream")
+def q_route_models_stream(spark, sf_dir):
+    rows, registry = _model_rows(spark, sf_dir)
+    src, sink, ckpt = (scratch_path(spark, f"models-{n}") for n in ("src", "sink", "ckpt"))
+    rows.repartition(3).write.parquet(src)
+    stream = rs.read_stream(spark, src, rows.schema, max_files_per_trigger=1)
+    rs.run_to_batches(rs.route_models_stream(stream, _loose(registry)), sink, ckpt)
+    return _model_routes(_quantised(spark.read.parquet(sink)))
+
+
+SQL["route_models_stream"] = SQL["route_models"]
+
+
+def _loose(registry):
+    """Thresholds of these checks were chosen on confidences of 12 digits; a 13th decides here."""
+    return registry.withColumn("threshold", F.col("threshold") - F.lit(5e-13))
+
+
+def _quantised(routed):
+    return routed.withColumn("confidence", F.round("confidence", 12))
+
+
+@register("model_registry", """WITH m AS (SELECT * FROM (VALUES ('good', 3, 1), ('broken', 3, 7), ('relabelled', 3, 1), ('unmapped', 2, 1)) v(model, n, times)),
+  """ + _MODEL_POLICY_SQL() + f"""
+  SELECT model, n AS class_count, {r("threshold * times", "threshold")}, {r(sq.dbl(T), "temperature")}, target_met,
+    model = 'good' OR (model = 'broken' AND threshold * times <= 1) AS usable,
+    concat_ws(' | ', CASE WHEN threshold * times > 1 THEN '{validate.MSG_THRESHOLD_RANGE}' END,
+      CASE WHEN n < 3 THEN '{validate.MSG_CLASSES}' END, CASE WHEN n < 3 THEN '{MSG_OUTPUTS}' END,
+      CASE WHEN model = 'relabelled' THEN '{MSG_OWN_LABELS}' END) AS violation_text FROM m CROSS JOIN pol""")
+def q_model_registry(spark, sf_dir):
+    _, registry = _model_rows(spark, sf_dir)
+    return rounded(registry.select("model", F.size("labels").alias("class_count"), "threshold", "temperature", "target_met",
+                                   "usable", F.array_join("violations", " | ").alias("violation_text")))
+
+
 #: Temperature of the text-routing check: spreads the share model's confidences.
 _TEXT_T = 0.2
 _LABELS = "[" + ", ".join(f"'{lab}'" for lab in fx.LANG_CLASSES) + "]"
