@@ -54,14 +54,15 @@ def _nll_at(logits: Column, label: Column, t: Column, n_classes: int | None = No
 
 def nll_grid(df: DataFrame, temperatures, logits_col: str = "logits",
              label_col: str = "label_id", n_classes: int | None = None) -> DataFrame:
-    """NLL at many temperatures in one scan (F2): each row meets every grid
-    temperature, one expression is compiled, and the (temperature, sum)
-    partial aggregate keeps the shuffle at grid x partitions rows."""
-    temps = F.array(*[F.lit(float(t)) for t in temperatures])
-    fanned = df.select(F.col(logits_col).alias("_z"), F.col(label_col).alias("_y"),
-                       F.explode(temps).alias("temperature"))
-    return fanned.groupBy("temperature").agg(
-        F.avg(_nll_at(F.col("_z"), F.col("_y"), F.col("temperature"), n_classes)).alias("nll"))
+    """NLL at many temperatures in one scan (F2): one aggregate with an average for each
+    temperature, so every row is read once and none is repeated; one row comes out, turned
+    into a row per temperature at the end."""
+    temps = [float(t) for t in temperatures]
+    data = df.select(F.col(logits_col).alias("_z"), F.col(label_col).alias("_y"))
+    sums = data.agg(*[F.avg(_nll_at(F.col("_z"), F.col("_y"), F.lit(t), n_classes)).alias(f"n{i}")
+                      for i, t in enumerate(temps)])
+    return sums.select(F.explode(F.array(*[F.struct(F.lit(t).alias("temperature"), F.col(f"n{i}").alias("nll"))
+                                           for i, t in enumerate(temps)])).alias("p")).select("p.*")
 
 
 def class_count(df: DataFrame, logits_col: str = "logits") -> int | None:
@@ -121,7 +122,7 @@ def fit_temperature(df: DataFrame, lower: float = config.MIN_TEMPERATURE,
     curvature over the persisted (logits, label) rows. Steps that leave the
     bracket fall back to bisection."""
     if not 0 < lower < upper:
-        raise ValueError("invalid calibration inputs")
+        raise ValueError(f"temperatures {lower} to {upper} are no positive range")
     data = df.select(logits_col, label_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if data.limit(1).count() == 0:

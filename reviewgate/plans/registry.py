@@ -53,13 +53,14 @@ def _lines(spark, sf_dir):
 
 
 CONF_DIGITS = 12
+CLASSES = len(fx.RETURN_FLAG_CLASSES)
 
 
 def _scored(spark, sf_dir, t=T):
     """Scored fixture. Confidence is quantised to 12 digits here (and in the
     oracle): Java's and DuckDB's exp differ in the last bit, which would
     otherwise change which confidences tie. The operators themselves are exact."""
-    s = policy.with_scores(_lines(spark, sf_dir), t)
+    s = policy.with_scores(_lines(spark, sf_dir), t, n_classes=CLASSES)
     return s.withColumn("confidence", F.round("confidence", CONF_DIGITS))
 
 
@@ -153,7 +154,7 @@ def _nll_grid_sql():
 
 @register("nll_grid", _nll_grid_sql())
 def q_nll_grid(spark, sf_dir):
-    return rounded(calibrate.nll_grid(_cal(_lines(spark, sf_dir)), GRID))
+    return rounded(calibrate.nll_grid(_cal(_lines(spark, sf_dir)), GRID, n_classes=CLASSES))
 
 
 # The NLL is convex in b = 1/T: halve the bracket on the sign of its slope.

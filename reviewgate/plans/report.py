@@ -90,7 +90,7 @@ def experiment_report(spark: SparkSession, sf_dir: str, temperature: float | Non
     lines = fx.scored_lines(spark, sf_dir)
     t = temperature if temperature is not None else calibrate.fit_temperature(
         lines.where(F.col("split") == "calibration"))
-    return report_of(policy.with_scores(lines, t), t, target)
+    return report_of(policy.with_scores(lines, t, n_classes=len(fx.RETURN_FLAG_CLASSES)), t, target)
 
 
 def report_json(report: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ def route_stream(stream: DataFrame, policy: DataFrame, labels, temperature: floa
     """Streaming DataFrame of routing decisions (no text column).
     ``confidence_digits`` quantises confidence before routing, matching a
     policy chosen on quantised confidences."""
-    scored = pol.with_scores(stream, temperature)
+    scored = pol.with_scores(stream, temperature, n_classes=len(list(labels)))
     if confidence_digits is not None:
         scored = scored.withColumn("confidence", F.round("confidence", confidence_digits))
     return pol.route(scored, policy, labels, k)
