@@ -81,17 +81,23 @@ def shard_documents(docs: DataFrame, n_shards: int = 40, n_slots: int = SLOTS) -
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version``.
 
     The law is ``bytes``: shard sizes near equal. ``slot`` is the row's place in
-    its shard, without gaps from 0. Null texts have no bytes; a record is hashed by
-    doc_id, text checksum and size, so rows without id and rows sharing an id
-    spread over the slots, and rows equal in all three share a slot. An empty
+    its shard, without gaps from 0. Null texts have no bytes, and texts of any length count
+    whole. A record is hashed by doc_id, text checksum and size, so rows without id and
+    rows sharing an id spread over the slots; rows equal in all three are told apart by
+    their place in the stored table, so any number of them spreads too. An empty
     table gives no rows; columns besides ``doc_id`` and ``text`` are ignored."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        (F.octet_length(text) + RECORD_OVERHEAD).cast("long").alias("size"),
                        F.crc32(text.cast("binary")).alias("text_crc32")) \
-        .withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(n_slots)).cast("int"))
-    rows = stored(rows, "shard-records")
+        .withColumns({"record": F.xxhash64("doc_id", "text_crc32", "size"), "nth": F.monotonically_increasing_id()})
+    rows = stored(rows, "shard-input")  # freezes the numbers
+    alike = stored(rows.groupBy("record").agg(F.count(F.lit(1)).alias("alike")).where("alike > 1")
+                   .select("record", "alike"), "shard-alike")
+    key = F.when(F.col("alike").isNull(), F.col("record")).otherwise(F.xxhash64("record", "nth"))
+    rows = stored(rows.join(alike, "record", "left").select(
+        "doc_id", "size", "text_crc32", F.pmod(key, F.lit(n_slots)).cast("int").alias("virtual_slot")), "shard-records")
     slots = stored(rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")),
                    "shard-slots")
     first = stored(slot_map(spark, n_shards, n_slots), "shard-map")

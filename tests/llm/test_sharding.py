@@ -22,6 +22,23 @@ def test_every_row_once_near_equal(spark, make_docs):
     assert sorted(out, key=key) == sorted(again, key=key)
 
 
+def test_equal_rows_spread(spark, make_docs):
+    """Half of the rows are equal, in one case without id; a very long text is counted whole."""
+    for i in (None, 7):
+        rows = [(k, "words " * (k % 50)) for k in range(4000)] + [(i, "the same text " * 12)] * 4000
+        out = shard_documents(make_docs(rows), n_shards=40).collect()
+        loads = {}
+        for r in out:
+            loads[r.shard] = loads.get(r.shard, 0) + r.size
+        assert len(out) == 8000 and max(loads.values()) / min(loads.values()) < 1.05
+        places = {}
+        for r in out:
+            places.setdefault(r.shard, []).append(r.slot)
+        assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    big = shard_documents(make_docs([(1, "é" * 500_000), (2, "")])).collect()
+    assert {r.doc_id: r.size for r in big} == {1: 1_000_016, 2: 16}
+
+
 def test_few_rows_and_none(spark, make_docs):
     assert len(shard_documents(make_docs([(1, "a"), (2, None)])).collect()) == 2
     assert shard_documents(make_docs([])).collect() == []
