@@ -64,7 +64,8 @@ def filter_urls(captures: DataFrame, events: DataFrame) -> DataFrame:
 
     ``verdict`` is ``blocked`` when an entry was active on the fetch date, else
     ``allowed``; the entry shown is the first by list, pattern and start. A capture
-    without URL or date matches nothing and is allowed. Repeated rows are kept; an
+    without URL or date matches nothing and is allowed. Entries without a list name are
+    one list, shown only where no named list hits. Repeated rows are kept; an
     empty list blocks nothing; other columns are ignored."""
     rows = captures.select(F.col("page_id").cast("long").alias("page_id"), "url", "fetch_date")
     urls = rows.where("url IS NOT NULL AND fetch_date IS NOT NULL").select("url", "fetch_date").distinct()
@@ -76,8 +77,9 @@ def filter_urls(captures: DataFrame, events: DataFrame) -> DataFrame:
         & (F.col("valid_to").isNull() | (F.col("fetch_date") < F.col("valid_to"))))
         .select("pattern", "fetch_date", "list_name", "valid_from"), "url-active")
     found = stored(keyed.join(active, ["pattern", "fetch_date"]).groupBy("url", "fetch_date").agg(
-        F.count_distinct("list_name").alias("n_lists"),
-        F.min(F.struct("list_name", "pattern", "valid_from")).alias("hit")), "url-found")
+        (F.count_distinct("list_name") + F.max(F.col("list_name").isNull().cast("long"))).alias("n_lists"),
+        F.min(F.struct(F.col("list_name").isNull().alias("unnamed"), "list_name", "pattern", "valid_from"))
+        .alias("hit")), "url-found")
     return rows.join(found, ["url", "fetch_date"], "left").select(
         "page_id", url_host(F.coalesce("url", F.lit(""))).alias("host"), "fetch_date",
         F.when(F.col("hit").isNotNull(), "blocked").otherwise("allowed").alias("verdict"),
@@ -99,7 +101,7 @@ def derived_captures(pages: DataFrame) -> DataFrame:
 
 def derived_events(pages: DataFrame) -> DataFrame:
     """Dated list entries for a share of the hosts of the pages: added, most of
-    them removed, some added again; and a parent domain on a second list."""
+    them removed, some added again; and a path of some hosts on a second list."""
     hosts = pages.where("url IS NOT NULL").select(url_host(F.col("url")).alias("host")).distinct() \
         .where("host <> ''")
     first = F.date_add(F.lit("2024-01-01").cast("date"), _number(F.col("host"), "a") % 200)

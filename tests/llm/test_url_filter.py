@@ -72,3 +72,12 @@ def test_repeats_and_empty(spark):
     assert [r.verdict for r in filter_urls(captures, events).collect()] == ["blocked"] * 3
     assert filter_urls(*frames(spark, captures=[])).collect() == []
     assert {r.verdict for r in filter_urls(*frames(spark, events=[])).collect()} == {"allowed"}
+
+
+def test_entries_without_a_list_name(spark):
+    events = [(None, "host:example.com", 1, "add"), ("z", "host:example.com", 3, "add"), (None, "path:a.org/x", 1, "add")]
+    got = {r.page_id: (r.verdict, r.n_lists, r.list_name, r.pattern) for r in filter_urls(*frames(
+        spark, events, [(0, "http://example.com/", 2), (1, "http://example.com/", 4), (2, "http://a.org/x", 2),
+                        (3, "http://b.org/", 2)])).collect()}
+    assert got == {0: ("blocked", 1, None, "host:example.com"), 1: ("blocked", 2, "z", "host:example.com"),
+                   2: ("blocked", 1, None, "path:a.org/x"), 3: ("allowed", 0, None, None)}
