@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..operators.prefix import ordered_positions
 from .common import stored
 
-CAP = 4096
+CAP = 512
 _MASK = (1 << 32) - 1
 _NODE = ["d", "k1", "k2"]
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
