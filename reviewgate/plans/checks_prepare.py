@@ -8,6 +8,7 @@ from .. import config
 from ..functions import text as tx
 from ..functions.labels import class_dimension, decode_label, encode_label
 from ..operators import prepare
+from ..operators.rowkeys import written
 from ..sources import fixtures as fx
 from . import sql_fixtures as sq
 from .registry import register
@@ -235,6 +236,28 @@ def q_ordered(spark, sf_dir):
         "complaint_id", "label", "date_received", "split", "narrative_hash")
 
 
+def _places(ordered):
+    """Each row's place in the order in which it would be written: part by part, row by row."""
+    from ..operators.prefix import ordered_positions
+    seen = written(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered-places")
+    return ordered_positions(seen, [F.col("_at")]).withColumnRenamed("rank", "place")
+
+
+@register("ordered_splits", PREPARED_SQL + """ SELECT complaint_id, label, date_received, split,
+    row_number() OVER (ORDER BY label, date_received, complaint_id) AS place FROM splits""")
+def q_ordered_splits(spark, sf_dir):
+    narrow = prepared(spark, sf_dir).select("complaint_id", "label", "date_received", "split")
+    return _places(prepare.ordered_output(narrow)).select("complaint_id", "label", "date_received", "split", "place")
+
+
+@register("ordered_kept", NAR + _hashed("nar") + _KEPT + """ SELECT complaint_id, label, date_received,
+    row_number() OVER (ORDER BY date_received, complaint_id, label) AS place FROM kept""")
+def q_ordered_kept(spark, sf_dir):
+    narrow = prepare.deduplicate_records(_nar(spark, sf_dir)).select("complaint_id", "label", "date_received")
+    return _places(prepare.ordered_output(narrow, prepare.KEPT_ORDER)).select(
+        "complaint_id", "label", "date_received", "place")
+
+
 @register("split_manifest", PREPARED_SQL + """ SELECT
     CASE WHEN grouping(split) = 1 THEN '__all__' ELSE split END AS split,
     CASE WHEN grouping(label) = 1 THEN '__all__' ELSE label END AS label,

@@ -390,8 +390,9 @@ def q_bootstrap(spark, sf_dir):
          & (F.abs(F.col("high") - F.col("_high")) <= half)).alias("near_poisson")))
 
 
-def _poisson_sql(n_resamples: int) -> str:
-    u = "CAST(('0x' || substr(md5(id || '-' || CAST(rep AS VARCHAR)), 1, 8))::UBIGINT AS DOUBLE) / 4294967296.0::DOUBLE"
+def _poisson_sql(n_resamples: int, blocks: bool = False) -> str:
+    unit = "substr(md5(id), 1, 2)" if blocks else "id"
+    u = f"CAST(('0x' || substr(md5({unit} || '-' || CAST(rep AS VARCHAR)), 1, 8))::UBIGINT AS DOUBLE) / 4294967296.0::DOUBLE"
     return _CELLS + f""", reps AS (SELECT range AS rep FROM range(0, {n_resamples})),
   wc AS (SELECT rep, label_id, pred_id, sum({sq.poisson_case(u)}) AS n
          FROM (SELECT id, label_id, pred_id FROM sc WHERE split = 'test') CROSS JOIN reps GROUP BY 1, 2, 3),
@@ -417,6 +418,11 @@ def q_poisson(spark, sf_dir):
     return rounded(metrics.poisson_bootstrap_macro_f1(_test(_scored(spark, sf_dir))))
 
 
+@register("blocked_poisson_bootstrap", _poisson_sql(config.BOOTSTRAP_RESAMPLES, blocks=True))
+def q_blocked_poisson(spark, sf_dir):
+    return rounded(metrics.blocked_poisson_bootstrap(_test(_scored(spark, sf_dir))))
+
+
 @register("risk_coverage_curve", WITH_SC + f""" SELECT
     row_number() OVER w AS accepted_count,
     {r('CAST(row_number() OVER w AS DOUBLE) / count(*) OVER ()', 'coverage')},

@@ -6,8 +6,20 @@ result, run by the correctness gate on the same parquet tables.
 
 from __future__ import annotations
 
-from ..functions.scores import linspace_edges, wilson_z
-from ..operators.metrics import poisson_cut_points
+from math import exp, factorial
+
+# Fixed values, stated here and not taken from the code under test: the normal quantile of a
+# two-sided 95 % interval, edges of equal bins, cumulative Poisson(1) probabilities.
+Z_95 = 1.959963984540054
+
+
+def linspace_edges(n_bins: int) -> list[float]:
+    return [1.0 if i == n_bins else i * (1.0 / n_bins) for i in range(n_bins + 1)]
+
+
+def poisson_cut_points(largest: int = 16) -> list[float]:
+    return [sum(exp(-1.0) / factorial(j) for j in range(k + 1)) for k in range(largest + 1)]
+
 
 # Python's Unicode whitespace for DuckDB's RE2 (its \s lacks \v and U+001C-1F).
 WS_DUCK = (r"[\s\x0b\x1c-\x1f\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}"
@@ -90,8 +102,8 @@ def bin_centre_case(bin_expr: str, n_bins: int) -> str:
     return "CASE " + " ".join(parts) + " END"
 
 
-def wilson_sql(k: str, n: str, level: float = 0.95) -> tuple[str, str]:
-    z = dbl(wilson_z(level))
+def wilson_sql(k: str, n: str) -> tuple[str, str]:
+    z = dbl(Z_95)
     p = f"(CAST({k} AS DOUBLE) / {n})"
     denom = f"(1.0::DOUBLE + {z} * {z} / {n})"
     center = f"(({p} + {z} * {z} / (2.0::DOUBLE * {n})) / {denom})"

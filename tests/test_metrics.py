@@ -65,3 +65,16 @@ def test_rows_without_a_confidence_rank_last(spark):
     curve = metrics.risk_coverage_curve(spark.createDataFrame(rows, "id STRING, confidence DOUBLE, correct BOOLEAN"))
     got = sorted((r.accepted_count, r.coverage, r.risk, r.threshold) for r in curve.collect())
     assert got == [(1, 0.25, 0.0, 0.9), (2, 0.5, 0.5, 0.5)]
+
+
+def test_blocked_bootstrap_lies_near_the_row_bootstrap(spark):
+    df = spark.range(6000).select(
+        F.col("id").cast("string").alias("id"), (F.col("id") % 3).cast("int").alias("label_id"),
+        F.when(F.xxhash64("id") % 5 == 0, (F.col("id") + 1) % 3).otherwise(F.col("id") % 3).cast("int").alias("pred_id"))
+    rows, blocks = metrics.bootstrap_macro_f1(df, 400).first(), metrics.blocked_poisson_bootstrap(df, 400).first()
+    assert blocks.estimate == pytest.approx(rows.estimate) and blocks.low < blocks.estimate < blocks.high
+    width = rows.high - rows.low
+    assert abs(blocks.low - rows.low) < 0.35 * width and abs(blocks.high - rows.high) < 0.35 * width
+    plan = metrics.blocked_poisson_bootstrap(df, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in plan  # the rows were read before, for the cells
+    assert metrics.blocked_poisson_bootstrap(df.limit(0), 10).first().estimate is None
