@@ -28,7 +28,9 @@ def with_scores(df: DataFrame, temperature=1.0, logits_col: str = "logits",
 
     The softmax is staged in two projections so the shifted exponentials are
     evaluated once per row (Catalyst keeps a projection whose non-trivial
-    output is used twice)."""
+    output is used twice). ``n_classes`` unrolls it into scalar expressions; these are
+    inlined wherever the confidence is used, so it is for plans that use it a few times (the
+    15 bins of a calibration error grew beyond the 64 KB that generated code may have)."""
     if n_classes:
         out = df.withColumn("probs", scores.softmax_fixed(F.col(logits_col), n_classes, temperature))
     else:
