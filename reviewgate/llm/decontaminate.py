@@ -10,129 +10,164 @@ sketch values. The sketch is far smaller than the item, no contained item is
 ever missed, and the length of the document doesn't matter. Candidates are
 verified on the shingles themselves, as text.
 
-Items go to the tasks in blocks of bounded size, so the benchmark may be of any
-length; documents are never shuffled.
+Sketches are made in tasks. The documents are read once, whatever the size of
+the benchmark: each keeps the shingles whose hash has its bit set in a filter of
+all item shingles. The filter has a fixed number of bits, so it is the only
+thing sent to every task and never grows; a larger benchmark lets more foreign
+shingles through, which the joins then drop. Candidates and their check are
+joins over what was kept; document texts are never shuffled.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
 from .words import _FOLD, shingles, word_table
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
-BLOCK_BYTES = 16 << 20
+#: Bits of the filter, as a power of two: 16 MB.
+FILTER_BITS = 27
+_ROWS = 1 << 15
 
-_HITS = "doc_id long, item_id long, item_shingles long, shared_shingles long, containment double"
+_ITEM = "item_key string, n long, needed long, shingle binary, hash long, sketched boolean"
+_KEPT = "doc_row long, doc_id long, text_hash long, shingle binary, hash long"
 
 
 def fold(text: str | None) -> bytes:
     return (text or "").lower().encode("utf-8", "replace")
 
 
-def shingle_texts(folded: bytes, size: int) -> set[bytes]:
-    """Distinct shingles as text; fewer words than ``size`` make one shingle."""
-    words = folded.translate(_FOLD).split()
-    return {b" ".join(words[i:i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
-
-
-class ItemBlock:
-    """Sketches of a bounded block of items, by size class."""
-
-    def __init__(self, items: list[tuple[int, str]], size: int, containment: float):
-        self.ids = [i for i, _ in items]
-        self.texts = [t for _, t in items]
-        self.size, self.containment = size, containment
-        self.counts, self.needed = [], []
-        owners = defaultdict(list)
-        for row, text in enumerate(self.texts):
-            values = np.unique(shingles(word_table(fold(text))[2], size))
-            n = len(values)
-            missing = self._may_miss(n)
-            largest = 1 << n.bit_length() if n else 0  # sizes of a class: largest / 2 to largest - 1
-            k = min(n, self._may_miss(largest - 1) + 1) if n else 0
-            self.counts.append(n)
-            self.needed.append(k - missing)
-            for v in values[:k].tolist():
-                owners[v].append(row)
-        self.values = np.array(sorted(owners), np.uint64)
-        self.owners = [owners[v] for v in self.values.tolist()]
-
-    def _may_miss(self, n: int) -> int:
-        return n - math.ceil(round(self.containment * n, 9))
-
-    def hits(self, text: str | None) -> list[tuple[int, int, int]]:
-        """(row of the item, its shingles, shingles shared) for the items in this text."""
-        if not len(self.values) or not text:
-            return []
-        folded = fold(text)
-        own = shingles(word_table(folded)[2], self.size)
-        at = np.searchsorted(self.values, own)
-        at[at == len(self.values)] = 0
-        found = np.unique(at[self.values[at] == own])
-        if not len(found):
-            return []
-        tally = defaultdict(int)
-        for v in found.tolist():
-            for row in self.owners[v]:
-                tally[row] += 1
-        candidates = [row for row, n in tally.items() if n >= self.needed[row]]
-        if not candidates:
-            return []
-        there = shingle_texts(folded, self.size)
-        out = []
-        for row in candidates:
-            wanted = shingle_texts(fold(self.texts[row]), self.size)
-            shared = len(wanted & there)
-            if shared >= math.ceil(round(self.containment * len(wanted), 9)):
-                out.append((row, len(wanted), shared))
-        return out
-
-
-def item_blocks(items: DataFrame, size: int, containment: float, block_bytes: int = BLOCK_BYTES):
-    """Blocks of items, each of at most ``block_bytes`` of text (or one item)."""
-    held, used = [], 0
-    for r in items.select(F.col("item_id").cast("long").alias("item_id"), "text").toLocalIterator():
-        n = len((r.text or "").encode())
-        if held and used + n > block_bytes:
-            yield ItemBlock(held, size, containment)
-            held, used = [], 0
-        held.append((r.item_id, r.text))
-        used += n
-    if held:
-        yield ItemBlock(held, size, containment)
-
-
-def _search(block):
+def shingles_at(folded: bytes, starts, ends, places, size: int) -> list[bytes]:
+    """The shingles that begin at the given words, as text."""
+    words = folded.translate(_FOLD)
+    return [b" ".join(words[a:b] for a, b in zip(starts[i:i + size].tolist(), ends[i:i + size].tolist()))
+            for i in places]
+
+
+def may_miss(n: int, containment: float) -> int:
+    return n - at_least(n, containment)
+
+
+def at_least(n: int, containment: float) -> int:
+    return math.ceil(round(containment * n, 9))
+
+
+def item_sketch(text: str | None, size: int = SHINGLE_WORDS, containment: float = CONTAINMENT):
+    """(distinct shingles as a dict to their hashes, sketch values, hits needed)."""
+    folded = fold(text)
+    starts, ends, words = word_table(folded)
+    hashes = shingles(words, size)
+    own = dict(zip(shingles_at(folded, starts, ends, range(len(hashes)), size), hashes.tolist()))
+    n = len(own)
+    if not n:
+        return own, [], 0
+    largest = 1 << n.bit_length()  # sizes of a class: largest / 2 to largest - 1
+    values = sorted(set(own.values()))[:min(n, may_miss(largest - 1, containment) + 1)]
+    return own, values, len(values) - may_miss(n, containment)
+
+
+def _signed(values) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
+def _item_rows(size: int, containment: float):
     def run(batches):
         for batch in batches:
-            rows = [(doc_id, block.value.ids[row], n, shared, shared / n)
-                    for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1))
-                    for row, n, shared in block.value.hits(text.as_py())]
-            cols = list(zip(*rows)) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int64()) for c in cols[:4]), pa.array(cols[4], pa.float64())],
-                ["doc_id", "item_id", "item_shingles", "shared_shingles", "containment"])
+            for key, text in zip(batch.column(0), batch.column(1)):
+                own, values, needed = item_sketch(text.as_py(), size, containment)
+                sketch, rows, n = set(values), list(own.items()), len(own)
+                for at in range(0, n, _ROWS):
+                    part = rows[at:at + _ROWS]
+                    m = len(part)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([key.as_py()] * m, pa.string()), pa.array([n] * m, pa.int64()),
+                         pa.array([needed] * m, pa.int64()), pa.array([s for s, _ in part], pa.binary()),
+                         _signed([h for _, h in part]), pa.array([h in sketch for _, h in part], pa.bool_())],
+                        ["item_key", "n", "needed", "shingle", "hash", "sketched"])
 
     return run
 
 
-def _clean(block, text_column: int):
+def _filter_of(item_shingles: DataFrame, bits: int) -> np.ndarray:
+    """The filter as 64-bit words; Spark folds the hashes into at most
+    2 ** (bits - 6) of them before they are fetched."""
+    place = F.shiftrightunsigned("hash", 64 - bits)
+    words = item_shingles.groupBy(F.shiftright(place, 6).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - bits}) & 63 AS int))")).alias("set"))
+    out = np.zeros(1 << (bits - 6), np.int64)
+    fetched = words.toArrow()
+    out[fetched.column("word").to_numpy()] = fetched.column("set").to_numpy()
+    return out.view(np.uint64)
+
+
+def _kept_shingles(held, bits: int, size: int):
+    """Distinct shingles of each document that the filter lets through."""
     def run(batches):
         for batch in batches:
-            keep = [not block.value.hits(t.as_py()) for t in batch.column(text_column)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            for row, doc_id, text_hash, text in zip(*batch.columns):
+                if not text.is_valid:
+                    continue
+                folded = fold(text.as_py())
+                starts, ends, words = word_table(folded)
+                hashes = shingles(words, size)
+                place = hashes >> np.uint64(64 - bits)
+                found = held.value[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)
+                at = np.flatnonzero(found)
+                own = dict(zip(shingles_at(folded, starts, ends, at.tolist(), size), hashes[at].tolist()))
+                rows = list(own.items())
+                for k in range(0, len(rows), _ROWS):
+                    part = rows[k:k + _ROWS]
+                    m = len(part)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([row.as_py()] * m, pa.int64()), pa.array([doc_id.as_py()] * m, pa.int64()),
+                         pa.array([text_hash.as_py()] * m, pa.int64()),
+                         pa.array([s for s, _ in part], pa.binary()), _signed([h for _, h in part])],
+                        ["doc_row", "doc_id", "text_hash", "shingle", "hash"])
 
     return run
 
 
+def _id(df: DataFrame) -> Column:
+    return df["doc_id"].cast("long")
+
+
+def _text_hash(df: DataFrame) -> Column:
+    return F.xxhash64(df["text"])
+
+
+def _contained(docs: DataFrame, items: DataFrame, size: int, containment: float) -> DataFrame:
+    """``doc_row, doc_id, text_hash, item_key, n, shared`` for every document
+    row and distinct item text that it contains."""
+    spark = docs.sparkSession
+    texts = items.select(_item_key(items).alias("item_key"), "text").groupBy("item_key").agg(
+        F.first("text").alias("text"))
+    rows = stored(texts.mapInArrow(_item_rows(size, containment), _ITEM), "benchmark-shingles")
+    held = spark.sparkContext.broadcast(_filter_of(rows, FILTER_BITS))
+    narrow = docs.select(F.monotonically_increasing_id().alias("doc_row"), _id(docs).alias("doc_id"),
+                         _text_hash(docs).alias("text_hash"), docs["text"].alias("text"))
+    kept = stored(narrow.mapInArrow(_kept_shingles(held, FILTER_BITS, size), _KEPT), "benchmark-kept")
+    sketches = rows.where("sketched").select("hash", "item_key", "needed")
+    candidates = kept.select("doc_row", "hash").join(sketches, "hash").groupBy("doc_row", "item_key").agg(
+        F.count(F.lit(1)).alias("hits"), F.max("needed").alias("needed")) \
+        .where("hits >= needed").select("doc_row", "item_key")
+    wanted = candidates.join(rows.select("item_key", "n", "shingle"), "item_key")
+    shared = wanted.join(kept.drop("hash"), ["doc_row", "shingle"]) \
+        .groupBy("doc_row", "doc_id", "text_hash", "item_key", "n").agg(F.count(F.lit(1)).alias("shared"))
+    return shared.where(F.col("shared") >= F.ceil(F.round(F.lit(float(containment)) * F.col("n"), 9)))
+
+
+def _item_key(items: DataFrame) -> Column:
+    """Digest of the text: equal items are searched for once."""
+    return F.sha2(F.coalesce(items["text"], F.lit("")).cast("binary"), 256)
+
+
 def benchmark_hits(docs: DataFrame, items: DataFrame, size: int = SHINGLE_WORDS,
                    containment: float = CONTAINMENT) -> DataFrame:
     """``doc_id, item_id, item_shingles, shared_shingles, containment``: a row
@@ -141,20 +176,21 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, size: int = SHINGLE_WORDS,
     Words are runs of ASCII letters, digits and other characters, lower-cased;
     fewer than ``size`` words make one shingle. Null, empty and wordless texts
     and items match nothing. Repeated rows of either table each give their row;
-    null ids are passed through. An empty table gives no rows; other columns
-    are ignored."""
-    spark = docs.sparkSession
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = spark.createDataFrame([], _HITS)
-    for block in item_blocks(items, size, containment):
-        out = out.unionByName(narrow.mapInArrow(_search(spark.sparkContext.broadcast(block)), _HITS))
-    return out
+    null ids are passed through. Texts may be of any length: one text at a time
+    is held. An empty table gives no rows; other columns are ignored."""
+    named = items.select(_item_key(items).alias("item_key"), items["item_id"].cast("long").alias("item_id"))
+    return _contained(docs, items, size, containment).join(named, "item_key").select(
+        "doc_id", "item_id", F.col("n").alias("item_shingles"), F.col("shared").alias("shared_shingles"),
+        (F.col("shared").cast("double") / F.col("n")).alias("containment"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = SHINGLE_WORDS,
                       containment: float = CONTAINMENT) -> DataFrame:
-    """The documents in which no item is contained, all columns kept."""
-    spark, schema = docs.sparkSession, docs.schema
-    for block in item_blocks(items, size, containment):
-        docs = docs.mapInArrow(_clean(spark.sparkContext.broadcast(block), schema.names.index("text")), schema)
-    return docs
+    """The documents in which no item is contained, all columns kept.
+
+    Rows that agree in id and text go or stay together. The ids that go are
+    joined by Spark's own threshold: sent to the tasks while they are few, by
+    shuffle beyond it."""
+    hit = stored(_contained(docs, items, size, containment).select("doc_id", "text_hash").distinct(),
+                 "benchmark-hit")
+    return docs.join(hit, _id(docs).eqNullSafe(hit["doc_id"]) & (_text_hash(docs) == hit["text_hash"]), "left_anti")

@@ -2,7 +2,7 @@ import random
 import re
 
 from reviewgate.llm import decontaminate
-from reviewgate.llm.decontaminate import ItemBlock, benchmark_hits, drop_contaminated
+from reviewgate.llm.decontaminate import benchmark_hits, drop_contaminated, item_sketch
 from reviewgate.llm.words import run_hashes, shingles, word_table
 
 
@@ -50,18 +50,30 @@ def test_against_every_pair(spark, make_docs):
     assert got == brute(docs, items) and len(got) > 20
 
 
-def test_blocks_and_filter(spark, make_docs, monkeypatch):
+def test_crowded_filter_and_kept_documents(spark, make_docs, monkeypatch):
     docs, items = fixture()
     frame = items_frame(spark, items)
-    assert len(list(decontaminate.item_blocks(frame, 5, 0.8, block_bytes=300))) > 2
-    whole = decontaminate.item_blocks
-    monkeypatch.setattr(decontaminate, "item_blocks", lambda i, s, c: whole(i, s, c, block_bytes=300))
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 7)  # most foreign shingles get through
     got = sorted([tuple(r) for r in benchmark_hits(make_docs(docs), frame).collect()], key=repr)
     assert got == brute(docs, items)
     kept = drop_contaminated(make_docs(docs), frame)
     assert kept.columns == make_docs(docs).columns
     hit = [(d, t) for d, t in docs if brute([(d, t)], items)]
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(d for d, t in docs if (d, t) not in hit)
+    assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == \
+        sorted((d, t or "") for d, t in docs if (d, t) not in hit)
+
+
+def test_very_long_text_and_columns_of_the_same_name(spark, make_docs):
+    item = prose(7, 40)
+    long = prose(8, 60_000) + " " + item + " " + prose(9, 60_000)
+    docs = make_docs([(1, long), (2, prose(10, 50))])
+    for name in ("doc_row", "text_hash", "hash", "shingle", "item_key", "item_id", "shared"):
+        docs = docs.selectExpr("*", f"'x' AS {name}")
+    items = items_frame(spark, [(5, item)] * 3)
+    got = [tuple(r) for r in benchmark_hits(docs, items).collect()]
+    assert got == [(1, 5, 36, 36, 1.0)] * 3
+    kept = drop_contaminated(docs, items)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
 
 
 def test_empty_tables(spark, make_docs):
@@ -72,8 +84,8 @@ def test_empty_tables(spark, make_docs):
 
 
 def test_sketch_is_smaller_than_the_item():
-    block = ItemBlock([(1, prose(1, 200))], 5, 0.8)
-    assert len(block.values) < 60 and block.needed[0] >= 1
+    own, values, needed = item_sketch(prose(1, 200))
+    assert len(own) == 196 and len(values) < 60 and needed >= 1
 
 
 def test_word_hashes_do_not_depend_on_place(monkeypatch):
