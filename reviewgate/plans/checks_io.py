@@ -27,6 +27,14 @@ def q_read_csv(spark, sf_dir):
     return io.read_narratives_csv(spark, path)
 
 
+@register("read_export_blocks", NAR + " SELECT complaint_id, date_received, issue, label, text FROM nar")
+def q_read_export_blocks(spark, sf_dir):
+    """Blocks of 1 MB, so that files of ordinary size are read by many tasks."""
+    path = scratch_path(spark, "export-csv")
+    io.write_export_csv(fx.narratives(spark, sf_dir), path)
+    return io.read_narratives_csv(spark, path, block_bytes=1 << 20)
+
+
 @register("read_split_jsonl", NAR + " SELECT complaint_id, date_received, issue, label, text FROM nar")
 def q_read_jsonl(spark, sf_dir):
     path = scratch_path(spark, "records-jsonl")

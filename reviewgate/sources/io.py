@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from ..operators.prepare import dedup_stats
+from .export_blocks import BLOCK_BYTES, blocks_of, export_records, files_of, has_compressed
 
 RECORD_SCHEMA = StructType([
     StructField("complaint_id", StringType()),
@@ -54,14 +55,26 @@ def write_export_csv(records: DataFrame, path: str) -> None:
      .csv(path))
 
 
-def read_narratives_csv(spark: SparkSession, path: str, products=None) -> DataFrame:
-    """Header CSV export -> 5-field records (A1). Quoted newlines are kept
-    (multiLine makes each file one split, so land it as Parquet once); a UTF-8
-    byte-order mark on the first header is dropped; rows of other products
-    and rows without a narrative are skipped. A date that is not yyyy-MM-dd
-    becomes null and its row stays, so one bad row never ends the read."""
-    raw = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
-    raw = raw.toDF(*[c.lstrip("\ufeff") for c in raw.columns])
+def read_narratives_csv(spark: SparkSession, path: str, products=None,
+                        block_bytes: int | None = BLOCK_BYTES) -> DataFrame:
+    """Header CSV export -> 5-field records (A1). Quoted line feeds are kept. A
+    file is read by one task for every ``block_bytes``, cut at true record ends
+    (``export_blocks``), for which quotes must be balanced and the path one that
+    pyarrow opens too; line ends inside quotes stay as written. With None, and
+    for compressed files, each file is one task, and Spark writes the line ends
+    of a CRLF file as line feeds. All files have the columns of the first. A UTF-8 byte-order mark on
+    the first header is dropped; rows of other products and rows without a
+    narrative are skipped. A date that is not yyyy-MM-dd becomes null and its
+    row stays, so one bad row never ends the read."""
+    whole = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path)
+    names = [c.lstrip("\ufeff") for c in whole.columns]
+    files = files_of(spark, path)
+    if block_bytes is None or has_compressed(files):
+        raw = whole.toDF(*names)
+    else:
+        schema = ", ".join(f"c{i} string" for i in range(len(names)))
+        fields = F.from_csv("record", schema, CSV_OPTIONS)
+        raw = export_records(blocks_of(files, block_bytes)).select(fields.alias("f")).select("f.*").toDF(*names)
     out = raw.select(
         F.col(EXPORT_ID).cast("string").alias("complaint_id"),
         F.try_to_date(F.col(EXPORT_DATE), "yyyy-MM-dd").alias("date_received"),
