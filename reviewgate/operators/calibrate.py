@@ -168,12 +168,15 @@ def fit_temperature(df: DataFrame, lower: float = config.MIN_TEMPERATURE,
 
 
 def binned(scored: DataFrame, n_bins: int) -> DataFrame:
-    """Per-bin count, accuracy and mean confidence over equal-width bins."""
-    return scored.groupBy(scores.bin_index(F.col("confidence"), n_bins).alias("bin")).agg(
+    """Per-bin count, accuracy and mean confidence over equal-width bins. The bin is an
+    aggregate output: a predicate on the grouping key would be pushed below the scoring
+    projection and inline the softmax into a filter once for each edge."""
+    return scored.withColumn("_bin", scores.bin_index(F.col("confidence"), n_bins)).groupBy("_bin").agg(
+        F.max("_bin").alias("bin"),
         F.count(F.lit(1)).alias("n"),
         F.avg(F.col("correct").cast("double")).alias("accuracy"),
         F.avg("confidence").alias("mean_confidence"),
-    )
+    ).drop("_bin")
 
 
 def expected_calibration_error(scored: DataFrame, n_bins: int = config.ECE_BINS) -> DataFrame:

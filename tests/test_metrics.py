@@ -1,8 +1,11 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from reviewgate.functions import scores
-from reviewgate.operators import metrics
+from reviewgate.functions.labels import class_dimension
+from reviewgate.operators import calibrate, metrics, policy
+from reviewgate.operators.row_weights import weighted_cells
 
 # Published 95 % Wilson bounds of 80/100 and 247/269.
 WILSON = {(80, 100): (0.711171, 0.866633), (247, 269): (0.8793, 0.9454)}
@@ -78,3 +81,34 @@ def test_blocked_bootstrap_lies_near_the_row_bootstrap(spark):
     plan = metrics.blocked_poisson_bootstrap(df, 10)._jdf.queryExecution().executedPlan().toString()
     assert "Range" not in plan  # the rows were read before, for the cells
     assert metrics.blocked_poisson_bootstrap(df.limit(0), 10).first().estimate is None
+
+
+def test_row_weights_equal_the_column_function(spark):
+    """Ids of all lengths, beyond one MD5 block, null and repeated: the same weights as md5(id-replicate) in Spark."""
+    ids = [None, None, "", *("é" * (i % 3) + "x" * i for i in range(70)), "a", "a"]
+    rows = [(x, i % 3 if i % 11 else None, i % 2) for i, x in enumerate(ids)]
+    df = spark.createDataFrame(rows, "id STRING, label_id INT, pred_id INT")
+    b = 12
+    slow = df.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(b - 1)))) \
+        .withColumn("w", metrics.poisson_weight("id", F.col("replicate"))) \
+        .groupBy("replicate", "label_id", "pred_id").agg(F.sum("w").alias("n")).where("n > 0")
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=["_id", "label_id", "pred_id"])
+    got = {tuple(r.values()) for x in weighted_cells(b, metrics.poisson_cut_points())(iter([batch.slice(0, 9), batch.slice(9)]))
+           for r in x.to_pylist() if r["w"]}
+    assert got == {tuple(r) for r in slow.collect()}
+    plan = metrics.poisson_bootstrap_replicates(df, b)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(sequence" not in plan  # no row for each row and replicate
+
+
+def test_no_softmax_in_filters(spark):
+    """Tests of grouping keys stay above the aggregates."""
+    rows = [([2.0, 0.0, 1.0], 0), ([0.0, 3.0, 1.0], 2), ([1.0, 1.0, 1.5], 1), ([5.0, 1.0, 0.0], None)]
+    s = policy.with_scores(spark.createDataFrame(rows, "logits ARRAY<DOUBLE>, label_id INT"), 0.9)
+    dim = class_dimension(spark, ("a", "b", "c"))
+    for out in (metrics.confusion_matrix(s, dim), calibrate.reliability_table(s, 10)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert not [x for x in plan.split("\n") if "Filter" in x and "zip_with" in x]
+    cells = {(r.label_id, r.pred_id): r["count"] for r in metrics.confusion_matrix(s, dim).collect()}
+    assert len(cells) == 9 and {k: v for k, v in cells.items() if v} == {(0, 0): 1, (2, 1): 1, (1, 2): 1}
+    table = calibrate.reliability_table(s, 10).collect()
+    assert sum(r["count"] for r in table) == 4 and len({r.bin for r in table}) == len(table)
