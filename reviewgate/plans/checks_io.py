@@ -3,6 +3,8 @@ the end-to-end plans."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -261,8 +263,9 @@ def q_route_models(spark, sf_dir):
 def q_route_models_stream(spark, sf_dir):
     rows, registry = _model_rows(spark, sf_dir)
     src, sink, ckpt = (scratch_path(spark, f"models-{n}") for n in ("src", "sink", "ckpt"))
-    rows.repartition(3).write.parquet(src)
-    stream = rs.read_stream(spark, src, rows.schema, max_files_per_trigger=1)
+    files = max(3, rows.rdd.getNumPartitions())  # grows with the table; still three micro-batches
+    rows.repartition(files).write.parquet(src)
+    stream = rs.read_stream(spark, src, rows.schema, max_files_per_trigger=math.ceil(files / 3))
     rs.run_to_batches(rs.route_models_stream(stream, _loose(registry)), sink, ckpt)
     return _model_routes(_quantised(spark.read.parquet(sink)))
 
