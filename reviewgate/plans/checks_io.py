@@ -191,9 +191,10 @@ def q_validate_score_shape(spark, sf_dir):
 def q_route_stream(spark, sf_dir):
     lines = fx.scored_lines(spark, sf_dir)
     chosen = policy.select_confidence_threshold(_cal(_scored(spark, sf_dir)))
-    src = scratch_path(spark, "stream-src")
-    _test(lines).repartition(4).write.mode("overwrite").parquet(src)
-    stream = rs.read_stream(spark, src, _test(lines).schema, max_files_per_trigger=1)
+    src, rows = scratch_path(spark, "stream-src"), _test(lines)
+    files = rows.rdd.getNumPartitions()  # grows with the table; still four micro-batches
+    (rows if files >= 4 else rows.repartition(4)).write.mode("overwrite").parquet(src)
+    stream = rs.read_stream(spark, src, rows.schema, max_files_per_trigger=math.ceil(max(files, 4) / 4))
     routed = rs.route_stream(stream, chosen, fx.RETURN_FLAG_NAMES, T, confidence_digits=12)
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
     rs.run_to_parquet(routed, sink, ckpt)

@@ -21,13 +21,14 @@ from ..sources.model_registry import frozen_registry
 
 def route_stream(stream: DataFrame, policy: DataFrame, labels, temperature: float,
                  k: int = config.TOP_K, confidence_digits: int | None = None) -> DataFrame:
-    """Streaming DataFrame of routing decisions (no text column).
+    """Streaming DataFrame of routing decisions (no text column). The policy is frozen when
+    the query is built, so no micro-batch chooses it again.
     ``confidence_digits`` quantises confidence before routing, matching a
     policy chosen on quantised confidences."""
     scored = pol.with_scores(stream, temperature)
     if confidence_digits is not None:
         scored = scored.withColumn("confidence", F.round("confidence", confidence_digits))
-    return pol.route(scored, policy, labels, k)
+    return pol.route(scored, pol.frozen_policy(policy), labels, k)
 
 
 def route_models_stream(stream: DataFrame, registry: DataFrame, k: int = config.TOP_K,

@@ -160,3 +160,24 @@ def test_vectors_that_cannot_be_scored_go_to_review(spark):
     free = scoring.score_batch(df, lambda: lambda x: x[:, :1], "v")  # a scorer that takes any length
     assert {r.id: r.logits for r in free.collect()} == {"a": [1.0], "b": None, "c": [1.0], "d": None, "e": [0.0]}
     assert scoring.score_batch(df.limit(0), lambda: lambda x: x, "v").collect() == []
+
+
+def test_stream_freezes_its_policy(spark, tmp_path):
+    """No micro-batch chooses the policy again, and its decisions are those of the batch."""
+    from reviewgate.streaming import route_stream as rs
+    data = [(str(i), i % 3, [float(i % 7), 1.0, 0.5]) for i in range(40)] + [("none", 0, None)]
+    rows = spark.createDataFrame(data, "id STRING, label_id INT, logits ARRAY<DOUBLE>")
+    src, curve = str(tmp_path / "src"), str(tmp_path / "curve")
+    rows.repartition(3).write.parquet(src)
+    policy.with_scores(rows, 2.0).select("confidence", "correct").write.parquet(curve)
+    chosen = policy.select_confidence_threshold(spark.read.parquet(curve), 0.3)
+    plan = rs.route_stream(rows, chosen, LABELS, 2.0)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "Window" not in plan
+    for p in (chosen, chosen.limit(0), policy.policy_frame(spark, 0.5, False)):
+        sink = str(tmp_path / f"sink-{id(p)}")
+        rs.run_to_parquet(rs.route_stream(rs.read_stream(spark, src, rows.schema, 1), p, LABELS, 2.0), sink, sink + "-c")
+        want = policy.route(policy.with_scores(rows, 2.0), p, LABELS)
+        assert sorted(map(str, spark.read.parquet(sink).collect())) == sorted(map(str, want.collect()))
+    two = chosen.unionByName(chosen)
+    with pytest.raises(Exception, match="more than one policy row"):
+        rs.route_stream(rows, two, LABELS, 2.0).collect()
