@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from reviewgate.functions import scores
 from reviewgate.functions.labels import class_dimension
-from reviewgate.operators import calibrate, metrics, policy
+from reviewgate.operators import calibrate, metrics, policy, row_weights
 from reviewgate.operators.row_weights import weighted_cells
 
 # Published 95 % Wilson bounds of 80/100 and 247/269.
@@ -112,3 +112,53 @@ def test_no_softmax_in_filters(spark):
     assert len(cells) == 9 and {k: v for k, v in cells.items() if v} == {(0, 0): 1, (2, 1): 1, (1, 2): 1}
     table = calibrate.reliability_table(s, 10).collect()
     assert sum(r["count"] for r in table) == 4 and len({r.bin for r in table}) == len(table)
+
+
+def test_rows_are_read_once_for_all_weights(spark):
+    """Estimate, observed classes and replicates come from one pass over the rows: its cells, with
+    and without weights, equal plain aggregates, also for null ids, labels and predictions."""
+    df = spark.range(300).select(
+        F.when(F.col("id") % 50 != 0, (F.col("id") % 290).cast("string")).alias("id"),
+        F.when(F.col("id") % 11 != 0, F.col("id") % 3).cast("int").alias("label_id"),
+        F.when(F.col("id") % 13 != 0, F.col("id") % 4).cast("int").alias("pred_id"))
+    b = 7
+    weighed = metrics.poisson_cells(df, b)
+    slow = df.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(b - 1)))) \
+        .withColumn("w", metrics.poisson_weight("id", F.col("replicate"))) \
+        .groupBy("replicate", "label_id", "pred_id").agg(F.sum("w").alias("n")).where("n > 0")
+    got = {tuple(r) for r in weighed.where("replicate IS NOT NULL").collect()}
+    assert got == {tuple(r) for r in slow.collect()}
+    plain = {tuple(r) for r in metrics.plain_cells(weighed).collect()}
+    assert plain == {tuple(r) for r in metrics.confusion_cells(df).collect()}
+    out = metrics.poisson_bootstrap_macro_f1(df, b)
+    assert "Range" not in out._jdf.queryExecution().executedPlan().toString()  # as read above, for the cells
+    assert out.first().estimate == pytest.approx(metrics.classification_metrics(df).first().macro_f1)
+    again = metrics.bootstrap_macro_f1(df, 40, cells=metrics.plain_cells(weighed)).first()
+    assert again.estimate == pytest.approx(out.first().estimate)
+
+
+@pytest.mark.parametrize("size", [0, 3, 8, 31, 32, 50, 54, 60])
+def test_first_words_against_hashlib(size):
+    import hashlib
+    ids = [(hashlib.sha512(str(i).encode()).hexdigest())[:size].encode() for i in range(9)]
+    ends = [b"-%d" % i for i in range(1200)]
+    seen, used = 0, 0
+    for some, words in row_weights.first_words(ids, ends):
+        for end, row in zip(ends[seen:seen + some], words):
+            assert row.tolist() == [int.from_bytes(hashlib.md5(x + end).digest()[:4], "big") for x in ids]
+        seen, used = seen + some, used + 1
+    assert seen == len(ends) and (used < 20 or size > 50)  # many replicates in one array operation
+
+
+def test_rows_wait_for_their_cell_over_batches(monkeypatch):
+    ids = [f"id{i * i}" if i % 9 else None for i in range(400)]
+    labels, preds = [i % 3 for i in range(400)], [i % 2 for i in range(400)]
+    whole = pa.record_batch([pa.array(ids), pa.array(labels), pa.array(preds)], names=["_id", "label_id", "pred_id"])
+    found = []
+    for cells, held, step in ((65536, 10**6, 400), (16, 10**6, 50), (40, 60, 30)):
+        monkeypatch.setattr(row_weights, "_CELLS", cells)
+        monkeypatch.setattr(row_weights, "_HELD", held)
+        out = weighted_cells(20, metrics.poisson_cut_points(), plain=True)(iter([whole.slice(i, step) for i in range(0, 400, step)]))
+        found.append({tuple(r.values()) for x in out for r in x.to_pylist()})
+    assert found[0] == found[1] == found[2] and len(found[0]) == 6 * 21
+    assert sum(w for r, _, _, w in found[0] if r is None) == 400
